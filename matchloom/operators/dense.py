@@ -34,8 +34,8 @@ def dense_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, block_rows: int
     d, nd = in_blocks(docs.select("doc_id", "vector"), "doc_id", docs.count(), block_rows)
     q = q.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nd - 1))))
     d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-    left = q.select(F.col("block").alias("qb"), F.col("other").alias("db"), "query_id", "vector")
-    right = d.select(F.col("other").alias("qb"), F.col("block").alias("db"), "doc_id", "vector")
+    left = q.select(F.col("block").alias("qb"), F.col("other").alias("db"), "query_id", F.col("vector").alias("qv"))
+    right = d.select(F.col("other").alias("qb"), F.col("block").alias("db"), "doc_id", F.col("vector").alias("dv"))
     out = (f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
            f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
@@ -43,7 +43,7 @@ def dense_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, block_rows: int
         if ql.empty or dl.empty:
             return pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
         dl = dl.sort_values("doc_id", kind="stable")
-        scores = np.round(np.stack(ql["vector"]) @ np.stack(dl["vector"]).T, TIE_DIGITS)
+        scores = np.round(np.stack(ql["qv"]) @ np.stack(dl["dv"]).T, TIE_DIGITS)
         order = np.argsort(-scores, axis=1, kind="stable")[:, :k]      # stable: ties keep the lower id
         return pd.DataFrame({
             "query_id": np.repeat(ql["query_id"].to_numpy(), order.shape[1]),

@@ -51,9 +51,9 @@ def quantiles(df: DataFrame, by: str, value: str, shares: dict[str, float]) -> D
                            F.explode(F.array(F.floor("at"), F.ceil("at"))).alias("place"))
     places = places.filter((F.col("place") >= F.col("start")) & (F.col("place") < F.col("start") + F.col("size")))
     inside = Window.partitionBy(by, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    values = (counted.join(F.broadcast(places.select(by, "bin").distinct()), [by, "bin"], "left_semi")
+    values = (counted.join(places.select(by, "bin").distinct(), [by, "bin"], "left_semi")
               .withColumn("upto", F.sum("n").over(inside)))
-    hits = values.join(F.broadcast(places), [by, "bin"]).filter(
+    hits = values.join(places, [by, "bin"]).filter(
         (F.col("place") >= F.col("start") + F.col("upto") - F.col("n"))
         & (F.col("place") < F.col("start") + F.col("upto")))
     ends = hits.groupBy(by, "name", "at").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
