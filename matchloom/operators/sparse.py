@@ -150,6 +150,7 @@ class SparseIndex:
         best = top_k(best_texts.join(copies, "text_id"), k, "qid")
         asked = queries.join(self._query_keys(distinct), "norm").select("query_id", "qid")
         if pad:
+            best = self._keep(best)
             distinct_ids = distinct.select(F.col("text_id").alias("qid"))
             best = pad_zero(distinct_ids, best.filter(F.col("score") > 0) if self.weighting == "tfidf" else best,
                             best.select("qid", "doc_id"), self.docs.select("doc_id"), k, "qid")

@@ -182,3 +182,22 @@ QUERIES: dict = {
  ({_DENSE.format('SELECT vec_id, embedding AS v FROM embeddings')})) WHERE rank <= 5"""),
     "dense_grid": (dense_grid, _dense_grid_sql()),
 }
+
+
+def incremental_match(spark, sf):
+    """The orders as a stream of files, ranked micro-batch by micro-batch."""
+    import uuid
+
+    from matchloom.session import shared_dir
+    from matchloom.streaming.incremental import match_stream
+
+    home = f"{shared_dir(spark)}/incremental-{uuid.uuid4().hex}"
+    parts = R.table(spark, sf, "part")
+    stream = spark.readStream.schema(parts.schema).option("pathGlobFilter", "part.parquet").parquet(sf)
+    index = shared.product_index(spark, sf, "word", "bm25", True)
+    query = match_stream(R.as_orders(stream).select("query_id", "text"), index, f"{home}/out", f"{home}/state")
+    query.awaitTermination()
+    return _six(spark.read.parquet(f"{home}/out").select("query_id", "rank", "doc_id", "score"))
+
+
+QUERIES["incremental_match"] = (incremental_match, QUERIES["bm25_products"][1])

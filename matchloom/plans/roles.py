@@ -22,6 +22,10 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
 
 def orders(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled order texts in six writing styles, one per part: query_id, text, gold_id, split."""
+    return as_orders(table(spark, sf, "part"))
+
+
+def as_orders(parts: DataFrame) -> DataFrame:
     name, size, brand = F.col("p_name"), F.col("p_size").cast("string"), F.col("p_brand")
     text = (F.when(F.col("p_type") == "ECONOMY", F.concat(F.upper(F.concat_ws(" ", name, size)), F.lit(" GR C/12 UNID")))
             .when(F.col("p_type") == "SMALL", F.concat(name, F.lit(" "), size, F.lit("g")))
@@ -30,7 +34,7 @@ def orders(spark: SparkSession, sf: str) -> DataFrame:
             .when(F.col("p_type") == "PROMO", F.concat(F.lit("fardo de "), name, F.lit(" da "), brand,
                                                        F.lit(" com "), size, F.lit(" gr cada und")))
             .otherwise(F.concat(name, F.lit(" marca "), brand, F.lit(" sortido"))))
-    return table(spark, sf, "part").select(
+    return parts.select(
         F.col("p_partkey").alias("query_id"), text.alias("text"), F.col("p_partkey").alias("gold_id"),
         F.when(F.col("p_size") <= 25, "val").otherwise("test").alias("split"))
 
