@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from matchloom.plans import eval_queries, match_queries, profile_queries, shared
@@ -29,6 +30,7 @@ def main() -> None:
         start = time.perf_counter()
         known[name][0](spark, sf_dir).write.format("noop").mode("overwrite").save()
         took[name] = round(time.perf_counter() - start, 3)
+        print(name, took[name], file=sys.stderr, flush=True)
     print(json.dumps({"metric": "total_time_headline_queries", "value": round(sum(took.values()), 3), "unit": "sec",
                       "queries": took, "sf": sf_dir.rstrip("/").split("sf")[-1]}))
     spark.stop()

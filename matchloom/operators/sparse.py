@@ -24,7 +24,7 @@ from matchloom.operators.topk import pad_zero, top_k
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 SEED_ROWS = 2_000          # postings looked at per query for the lower bound
-PAIRS_PER_CORE = 50_000_000
+PAIRS_PER_CORE = 15_000_000
 MARGIN = 1e-7              # far above rounding noise of score sums, far below any score gap that matters
 
 
