@@ -45,10 +45,10 @@ def term_counts(texts: DataFrame, analyzer: str) -> DataFrame:
         return char_counts(word_counts(filled, keys), keys)
     if analyzer == WORD_PAIRS:
         words = F.split("norm", " ")
-        pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1),
-                            lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
-        both = F.when(F.size(words) > 1, F.concat(words, pairs)).otherwise(words)
-        return (filled.select(*keys, F.explode(both).alias("term"))
+        rest = F.size(words) - 1
+        pairs = F.zip_with(F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest),
+                           lambda a, b: F.concat_ws(" ", a, b))
+        return (filled.select(*keys, F.explode(F.concat(words, pairs)).alias("term"))
                 .groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf")))
     return word_counts(filled, keys)
 

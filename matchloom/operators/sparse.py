@@ -24,7 +24,8 @@ from matchloom.operators.topk import pad_zero, top_k
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 SEED_ROWS = 2_000          # postings looked at per query for the lower bound
-PAIRS_PER_CORE = 15_000_000
+PAIRS_PER_CORE = 50_000_000      # beyond either, the direct plan gives way to the pruned one
+SUMS_PER_CORE = 5_000_000
 MARGIN = 1e-7              # far above rounding noise of score sums, far below any score gap that matters
 
 
@@ -58,6 +59,7 @@ class SparseIndex:
     vocabulary_rows: int
     vocabulary_bytes: int
     postings: int
+    n_texts: int
     norms: DataFrame | None = None     # text_id, norm of the raw TF-IDF vector
     kept: list[DataFrame] = field(default_factory=list)
 
@@ -65,7 +67,7 @@ class SparseIndex:
     def fit(cls, docs: DataFrame, analyzer: str, weighting: str) -> "SparseIndex":
         """``docs``: doc_id, norm (normalised text). Copies of one text share their postings."""
         texts = corpus.by_text(corpus.distinct_texts(docs, "doc_id")).persist()
-        total = texts.agg(F.sum("copies").alias("n"), F.sum(F.col("copies") * F.col("words")).alias("w")).first()
+        total = texts.agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("n"), F.sum(F.col("copies") * F.col("words")).alias("w")).first()
         n = total["n"] or 0
         counts = corpus.term_counts(texts, analyzer).persist()
         df_table = counts.groupBy("term").agg(
@@ -77,7 +79,7 @@ class SparseIndex:
         vocabulary = (tfidf_vocabulary(df_table, n) if weighting == "tfidf"
                       else bm25_vocabulary(df_table, n, stats["mean_raw"] or 0.0))
         index = cls(weighting, analyzer, docs, counts, vocabulary, n, (total["w"] or 0) / n if n else 0.0,
-                    stats["terms"], stats["bytes"] or 0, stats["postings"] or 0, kept=[texts, counts, df_table])
+                    stats["terms"], stats["bytes"] or 0, stats["postings"] or 0, total["texts"], kept=[texts, counts, df_table])
         if weighting == "tfidf":
             index.norms = index._keep(index._with_idf(counts).groupBy("text_id").agg(
                 F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("length")))
@@ -139,11 +141,14 @@ class SparseIndex:
         distinct = self._keep(corpus.by_text(corpus.distinct_texts(queries, "query_id")))
         vectors = self._keep(self.query_vectors(distinct))
         size = vectors.agg(F.count(F.lit(1)).alias("rows"), F.sum("text_df").alias("pairs"),
+                           F.countDistinct("qid").alias("texts"),
                            F.sum(F.octet_length("term") + 48).alias("bytes")).first()
         small = size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
-        budget = PAIRS_PER_CORE * queries.sparkSession.sparkContext.defaultParallelism
+        cores = queries.sparkSession.sparkContext.defaultParallelism
+        light = ((size["pairs"] or 0) <= PAIRS_PER_CORE * cores
+                 and size["texts"] * self.n_texts <= SUMS_PER_CORE * cores)
         if plan == "auto":
-            plan = "direct" if small and (size["pairs"] or 0) <= budget else "pruned"
+            plan = "direct" if small and light else "pruned"
         scored = self._direct(vectors) if plan == "direct" else self._pruned(vectors, k)
         best_texts = top_k(scored, k, "qid", "text_id")
         copies = corpus.first_copies(self.docs, "doc_id", k)
