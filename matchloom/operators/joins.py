@@ -36,20 +36,22 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, hot
     return cut.drop("salts").join(copied.drop("salts"), [key, "salt"]).drop("salt")
 
 
-def lookup(left: DataFrame, table: DataFrame, key: str, how: str = "inner", rows: int | None = None) -> DataFrame:
-    """Join with a table whose key is unique; it is broadcast when its counted size allows.
+def lookup(left: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join with a table whose key is unique; it is broadcast when its measured size allows.
 
     Beyond that size the shuffle join takes over, where adaptive execution splits skewed left partitions.
     """
-    if fits_broadcast(table, rows):
+    if fits_broadcast(table):
         table = F.broadcast(table)
     return left.join(table, key, how)
 
 
-def fits_broadcast(table: DataFrame, rows: int | None = None) -> bool:
-    if rows is None:
-        rows = table.limit(BROADCAST_ROWS + 1).count()
-    return rows <= BROADCAST_ROWS
+def fits_broadcast(table: DataFrame) -> bool:
+    """Measure rows and bytes in one distributed pass."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema if f.dataType.simpleString() == "string"]
+    width = sum(text, F.lit(16 * len(table.columns)))
+    size = table.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

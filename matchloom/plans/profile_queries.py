@@ -121,7 +121,7 @@ def case_and_accents(spark, sf):
 
 
 def pattern_shares(spark, sf):
-    both = R.orders(spark, sf).select("text").unionByName(R.table(spark, sf, "documents").select("text"))
+    both = R.orders(spark, sf).select("text").unionByName(R.articles(spark, sf).select(C("name").alias("text")))
     return P.pattern_shares(both, "text")
 
 
