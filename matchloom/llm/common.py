@@ -22,6 +22,12 @@ def fold_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row; a lambda that names a column expression would compute it
+    again for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def split_words(text: Column, separators: str = SPACE) -> Column:
     """Non-empty pieces between separators; null and blank texts give an empty array."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), separators), lambda w: w != "")

@@ -1,5 +1,5 @@
 """All queries of this subpackage: name -> (function, DuckDB SQL or None)."""
 
-from matchloom.llm import mixing, quality
+from matchloom.llm import decontaminate, mixing, quality
 
-QUERIES = {**quality.QUERIES, **mixing.QUERIES}
+QUERIES = {**decontaminate.QUERIES, **quality.QUERIES, **mixing.QUERIES}
