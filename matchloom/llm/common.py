@@ -59,6 +59,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of this run's own that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` (narrow fixed-width rows) has at most ``rows`` rows; looks at no more than that plus one."""
     return df.limit(rows + 1).count() <= rows
