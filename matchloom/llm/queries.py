@@ -1,5 +1,5 @@
 """All queries of this subpackage: name -> (function, DuckDB SQL or None)."""
 
-from matchloom.llm import decontaminate, mixing, neardup, quality, tokens
+from matchloom.llm import decontaminate, mixing, neardup, quality, tokens, urlfilter
 
-QUERIES = {**decontaminate.QUERIES, **neardup.QUERIES, **quality.QUERIES, **tokens.QUERIES, **mixing.QUERIES}
+QUERIES = {**decontaminate.QUERIES, **neardup.QUERIES, **quality.QUERIES, **tokens.QUERIES, **urlfilter.QUERIES, **mixing.QUERIES}
