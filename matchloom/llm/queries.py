@@ -1,5 +1,5 @@
 """All queries of this subpackage: name -> (function, DuckDB SQL or None)."""
 
-from matchloom.llm import decontaminate, mixing, neardup, quality, secret_scan, tokens, urlfilter, warc
+from matchloom.llm import decontaminate, mixing, neardup, quality, secret_scan, suffix_dedup, tokens, urlfilter, warc
 
-QUERIES = {**decontaminate.QUERIES, **neardup.QUERIES, **quality.QUERIES, **secret_scan.QUERIES, **tokens.QUERIES, **urlfilter.QUERIES, **warc.QUERIES, **mixing.QUERIES}
+QUERIES = {**decontaminate.QUERIES, **neardup.QUERIES, **quality.QUERIES, **secret_scan.QUERIES, **suffix_dedup.QUERIES, **tokens.QUERIES, **urlfilter.QUERIES, **warc.QUERIES, **mixing.QUERIES}
