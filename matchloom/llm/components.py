@@ -2,7 +2,7 @@
 
 Each round only takes minima per node and joins them back, so a node with very many links is pre-aggregated and
 its rows are spread by adaptive skew joins; no neighbourhood is gathered. Rounds grow with the logarithm of the
-longest chain. Every round is written to the shared folder, which cuts the lineage.
+longest chain, and end as soon as the links are stars. Every round is written to the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -23,22 +23,30 @@ def _neighbour_minimum(links: DataFrame, mirrored: bool) -> DataFrame:
             .unionByName(lowest.select("u", F.col("low").alias("v"))).filter("u != v"))
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) for every linked node; ``root`` is the smallest node of its component. Loops and repeats may occur."""
+def _settled(links: DataFrame) -> bool:
+    """Whether the links are stars: every node points at one root, and no root points anywhere."""
+    ends = links.select("u", "v", F.lit(False).alias("root")).unionByName(links.select(F.col("v").alias("u"), F.lit(None).alias("v"), F.lit(True).alias("root")))
+    odd = (ends.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.max("root").alias("root"))
+           .filter("low != high OR (root AND low IS NOT NULL)"))
+    return odd.isEmpty()
+
+
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(node, root) for every node in ``links`` (a, b); ``root`` is the smallest node of its component. Loops and repeats
+    may occur. ``known`` (node, root) stands for links that an earlier call has resolved."""
     spark = links.sparkSession
-    now = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct())
-    path, before = None, None
+    if known is not None:
+        links = links.select("a", "b").unionByName(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    now = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
+    path = None
     while True:
         last, path = path, scratch(spark, "components")
         now.write.parquet(path)
         now = spark.read.schema(now.schema).parquet(path)
         if last:
             discard(spark, last)
-        state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", "u"))).first()
-        if state == before or state[0] == 0:
+        if _settled(now):
             break
-        before = state
-        larger = _neighbour_minimum(now, mirrored=True).distinct()
-        now = _neighbour_minimum(larger, mirrored=False).distinct()
+        now = _neighbour_minimum(_neighbour_minimum(now, mirrored=True), mirrored=False).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -3,13 +3,15 @@
 1. A document's set holds the hashes of its distinct word shingles; a signature keeps their minimum under 128
    hash functions. Equal texts share one node, so copies are never compared.
 2. Bands of four minima put similar nodes into common buckets: two sets of similarity 0.8 miss each other with
-   probability 5e-8. In each bucket, all nodes are compared with its smallest one (linear, whatever the bucket).
+   probability 5e-8.
 3. A pair's signatures are compared 32 minima at a time. After each batch the posterior of its similarity (uniform
    prior, so a beta distribution) tells the chance that it reaches the threshold; below MISS the pair is dropped.
-   Survivors are verified on their whole sets.
-4. Links give components. Buckets that still hold several components are gone through again: every pair across
-   components is tried the same way, in cells of at most CELL x CELL nodes, so that no link is missed because its
-   ends were never the smallest node of a bucket.
+   In each bucket all nodes are compared with its smallest one, and what survives joins nodes into clouds; buckets
+   that still meet several clouds then try every pair across them. No likely pair is left between two clouds.
+4. Inside a cloud, likely pairs are verified on their whole sets, in cells whose bytes are bounded. A small cloud is
+   one cell. A large one is cut into blocks: each block is done with itself and with a few pivots, and only nodes
+   that are not yet in the cloud's major component go on to meet the other blocks.
+   A task hands on links that join something new, so no step writes more rows than it reads.
 
 Defined results: null, blank and empty texts have no set and stand alone. Rows that repeat a text share its
 component. The smallest key of a component names it; a null key is never the smallest unless there is no other.
@@ -24,7 +26,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from matchloom.llm.common import fold_ascii, fresh, let, split_words, stored, table
 from matchloom.llm.components import components
@@ -32,7 +34,9 @@ from matchloom.llm.components import components
 MINIMA, ROWS, BATCH = 128, 4, 32
 PERCENT = 80
 MISS = 1e-6                # accepted chance, per batch, to drop a pair that reaches the threshold
-CELL = 1024
+CELL_NODES = 1024          # signatures on one side of a cell
+CELL_BYTES = 16 << 20      # signatures and sets of a block
+PIVOTS = 8
 SEED = 8
 
 
@@ -121,37 +125,72 @@ def _likely(limits: list[tuple[int, int]]):
     return F.pandas_udf(likely, "boolean")
 
 
-def _cells(limits: list[tuple[int, int]]):
-    """Likely pairs of different components inside each cell (rows sorted by cell, its left side first)."""
-    def blocks(batches: Iterator[pa.RecordBatch]):
+class Cell:
+    """Nodes of one task's unit of work, with their group so far; ``left`` nodes are held against all ``right`` ones."""
+
+    def __init__(self, rows: list[tuple]):
+        self.nodes = [r["node"] for r in rows]
+        self.right = np.array([r["right"] for r in rows])
+        self.minima = np.frombuffer(b"".join(r["minima"] for r in rows), np.uint32).reshape(-1, MINIMA)
+        self.group = np.unique([r["root"] for r in rows], return_inverse=True)[1]
+        self.sets = [r["shingles"] for r in rows] if "shingles" in rows[0] else None
+
+    def links(self, limits: list[tuple[int, int]], percent: int) -> Iterator[tuple[bytes, bytes]]:
+        """Links that join groups: likely pairs, or pairs that reach ``percent`` where the sets are given."""
+        if self.sets is not None:
+            sizes = np.array([len(x) for x in self.sets])
+            tokens = np.unique(np.concatenate(self.sets), return_inverse=True)[1]
+            starts = np.cumsum(sizes) - sizes
+            mark = np.zeros(tokens.max() + 1, np.int32)
+        rights = np.flatnonzero(self.right)
+        for x in np.flatnonzero(~self.right) if len(rights) < len(self.nodes) else rights:
+            others = rights[self.group[rights] != self.group[x]]
+            if not len(others):
+                continue
+            others = others[surviving(np.broadcast_to(self.minima[x], (len(others), MINIMA)), self.minima[others], limits)]
+            if self.sets is not None and len(others):
+                own = tokens[starts[x]:starts[x] + sizes[x]]
+                mark[own] = 1
+                if 4 * len(others) > len(self.nodes):
+                    common = np.add.reduceat(mark[tokens], starts)[others]
+                else:
+                    common = np.array([mark[tokens[starts[y]:starts[y] + sizes[y]]].sum() for y in others])
+                mark[own] = 0
+                others = others[100 * common >= percent * (sizes[x] + sizes[others] - common)]
+            for y in others:
+                if self.group[y] != self.group[x]:
+                    self.group[self.group == self.group[y]] = self.group[x]
+                    yield self.nodes[x], self.nodes[y]
+
+
+def _cell_links(keys: list[str], limits: list[tuple[int, int]], percent: int):
+    """Links found in each cell; a partition holds whole cells, sorted by ``keys``."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "right", "node", "root", "minima"))):
+            names = [n for n in batch.schema.names if n != "shingles"]
+            sets = batch.column("shingles") if "shingles" in batch.schema.names else None
+            if sets is not None:
+                offsets, values = np.asarray(sets.offsets), np.asarray(sets.values)
+            for i, row in enumerate(zip(*(batch.column(n).to_pylist() for n in names))):
+                row = dict(zip(names, row))
+                if sets is not None:
+                    row["shingles"] = values[offsets[i]:offsets[i + 1]].copy()
                 yield row
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, cell in groupby(blocks(batches), key=lambda r: r[:3]):
-            rows = list(cell)                              # at most 2 * CELL, give or take the hash's unevenness
-            sides = [[r for r in rows if r[3] == side] for side in (False, True)]
-            if not sides[0] or not sides[1]:
-                continue
-            minima = [np.stack([np.frombuffer(r[6], np.uint32) for r in side]) for side in sides]
-            _, roots = np.unique([r[5] for r in sides[0]] + [r[5] for r in sides[1]], return_inverse=True)
-            roots_left, roots_right = roots[:len(sides[0])], roots[len(sides[0]):]
-            for x in range(len(sides[0])):
-                other = np.flatnonzero(roots_right != roots_left[x])
-                if len(other):
-                    hit = other[surviving(np.broadcast_to(minima[0][x], (len(other), MINIMA)), minima[1][other], limits)]
-                    if len(hit):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([sides[0][x][4]] * len(hit), pa.binary()), pa.array([sides[1][y][4] for y in hit], pa.binary())],
-                            ["a", "b"])
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, cell in groupby(rows(batches), key=lambda r: [r[k] for k in keys]):
+            found = list(Cell(list(cell)).links(limits, percent))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*found)], ["a", "b"])
 
-    return pairs
+    return links
 
 
 class NearDuplicates:
     """Links between nodes (distinct texts) whose sets overlap by at least ``percent`` of their union."""
 
+    band_rows = ROWS
+
     def __init__(self, docs: DataFrame, span: int = 5, percent: int = PERCENT, text: str = "text", key: str = "doc_id"):
         self.spark, self.span, self.percent = docs.sparkSession, span, percent
         self.limits = least_matches(percent / 100)
@@ -162,72 +201,101 @@ class NearDuplicates:
     def shingles(self) -> Column:
         return shingle_set(split_words(fold_ascii(F.col("body"))), self.span)
 
+    def sketched(self, schema: str) -> DataFrame:
+        return self.texts.select("doc", "node", self.shingles().alias("shingles")).mapInArrow(_sketch, schema)
+
     def sketch(self) -> tuple[DataFrame, DataFrame]:
         """(one row per document with its set size, one row per node with its signature)."""
-        rows = stored(self.texts.select("doc", "node", self.shingles().alias("shingles")).mapInArrow(
-            _sketch, f"doc {self.key_type}, node binary, n_shingles long, minima binary"), "sketch")
+        rows = stored(self.sketched(f"doc {self.key_type}, node binary, n_shingles long, minima binary"), "sketch")
         nodes = (rows.filter("n_shingles > 0").groupBy("node")
-                 .agg(F.min("doc").alias("doc"), F.first("minima").alias("minima")))
+                 .agg(F.min("doc").alias("doc"), F.first("minima").alias("minima"), F.first("n_shingles").alias("n_shingles")))
         return rows, stored(nodes, "nodes")
 
-    def verified(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (a, b) that reach the threshold on their full sets."""
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc"), "node")
-        rows = self.texts.alias("t").join(
-            needed.alias("n"), (F.col("t.node") == F.col("n.node")) & F.col("t.doc").eqNullSafe(F.col("n.doc")), "left_semi")
-        sets = stored(rows.dropDuplicates(["node"]).select("node", self.shingles().alias("shingles")), "sets")
-        both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
-                .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b"))
-        common = F.size(F.array_intersect("left", "right"))
-        return (both.select("a", "b", common.alias("common"), (F.size("left") + F.size("right")).alias("sizes"))
-                .filter(100 * F.col("common") >= self.percent * (F.col("sizes") - F.col("common"))).select("a", "b"))
-
     def buckets(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         """((bucket, node) of every band, (bucket, low, members) of buckets with several nodes)."""
-        width = 4 * ROWS
-        members = nodes.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(MINIMA // ROWS - 1)), lambda band: F.xxhash64(
+        width = 4 * self.band_rows
+        members = nodes.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(MINIMA // self.band_rows - 1)), lambda band: F.xxhash64(
             band, F.substring("minima", band * width + 1, F.lit(width))))).alias("bucket"), "node")
         shared = (members.groupBy("bucket").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("members"))
                   .filter("members > 1"))
         return members, stored(shared, "buckets")
 
-    def links(self, nodes: DataFrame) -> DataFrame:
+    def in_cells(self, rows: DataFrame, keys: list[str]) -> DataFrame:
+        """Links (a, b) found in the cells named by ``keys``."""
+        sets = ["shingles"] if "shingles" in rows.columns else []
+        return (rows.select(*keys, "right", "node", "root", "minima", *sets).repartition(*keys).sortWithinPartitions(*keys)
+                .mapInArrow(_cell_links(keys, self.limits, self.percent), "a binary, b binary"))
+
+    def clouds(self, nodes: DataFrame) -> DataFrame:
+        """(node, root): groups such that every likely pair of a bucket lies inside one."""
         members, shared = self.buckets(nodes)
         members = stored(members.join(shared, "bucket"), "members")
         stars = members.filter("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
         left = nodes.select(F.col("node").alias("a"), F.col("minima").alias("left"))
         right = nodes.select(F.col("node").alias("b"), F.col("minima").alias("right"))
         likely = stored(stars.join(right, "b").join(left, "a").filter(_likely(self.limits)("left", "right")).select("a", "b"), "likely")
-        first = stored(self.verified(likely, nodes), "links")
-        rest = stored(self.crossing(members, components(first), nodes), "crossing")
-        if rest.isEmpty():
-            return first
-        return first.unionByName(stored(self.verified(rest, nodes), "links"))
+        roots = components(likely)
+        more = stored(self.crossing(members, roots, nodes), "crossing")
+        return roots if more.isEmpty() else components(more, roots)
 
     def crossing(self, members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Likely pairs across components in buckets of three or more nodes; the smallest node is done already."""
+        """Likely pairs across clouds in buckets of three or more nodes; the smallest node is done already."""
         others = (members.filter("members > 2 AND node != low").select("bucket", "node").join(roots, "node", "left")
                   .withColumn("root", F.coalesce("root", "node")))
         counts = others.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-        open_ = (counts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("major"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("roots"))
-                 .filter("roots > 1")
-                 .select("bucket", F.col("major.root").alias("major"), F.ceil(F.col("all") / CELL).cast("int").alias("columns"),
-                         F.ceil((F.col("all") - F.col("major.n")) / CELL).cast("int").alias("lines")))
-        placed = others.join(open_, "bucket")
-        minor = F.col("root") != F.col("major")
-        at = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
-        below = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-        lefts = placed.filter(minor).select("bucket", at("lines").alias("i"), F.explode(below("columns")).alias("j"), F.lit(False).alias("right"), "node", "root")
-        rights = placed.select("bucket", F.explode(below("lines")).alias("i"), at("columns").alias("j"), F.lit(True).alias("right"), "node", "root")
-        cells = (lefts.unionByName(rights).join(nodes.select("node", "minima"), "node")
-                 .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "right"))
-        found = cells.select("bucket", "i", "j", "right", "node", "root", "minima").mapInArrow(_cells(self.limits), "a binary, b binary")
-        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        several = (counts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("major"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("roots"))
+                   .filter("roots > 1")
+                   .select("bucket", F.col("major.root").alias("major"), F.ceil(F.col("all") / CELL_NODES).cast("int").alias("columns"),
+                           F.ceil((F.col("all") - F.col("major.n")) / CELL_NODES).cast("int").alias("lines")))
+        return self.in_cells(self.minor_by_all(others.join(several, "bucket"), "bucket").join(nodes.select("node", "minima"), "node"), ["bucket", "i", "j"])
+
+    def minor_by_all(self, placed: DataFrame, unit: str) -> DataFrame:
+        """Cells (unit, i, j): block i of the nodes outside the unit's major root against block j of all its nodes."""
+        block = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+        every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+        kept = [c for c in ("minima", "shingles") if c in placed.columns]
+        lefts = placed.filter("root != major").select(unit, block("lines").alias("i"), every("columns").alias("j"), F.lit(False).alias("right"), "node", "root", *kept)
+        rights = placed.select(unit, every("lines").alias("i"), block("columns").alias("j"), F.lit(True).alias("right"), "node", "root", *kept)
+        return lefts.unionByName(rights)
+
+    def roots(self, nodes: DataFrame) -> DataFrame:
+        """(node, root) of all nodes that the threshold connects with others, by verified links."""
+        clouds = self.clouds(nodes).withColumnRenamed("root", "cloud")
+        inside = nodes.join(clouds, "node").withColumn("bytes", F.col("n_shingles") * 8 + 4 * MINIMA)
+        sizes = clouds.join(nodes.select("node", "n_shingles"), "node").groupBy("cloud").agg(
+            F.ceil(F.sum(F.col("n_shingles") * 8 + 4 * MINIMA) / CELL_BYTES).cast("int").alias("blocks"))
+        placed = inside.join(sizes, "cloud").select("node", "doc", "minima", "cloud", "blocks")
+        texts = self.texts.select(F.col("node").alias("of"), F.col("doc").alias("of_doc"), "body")
+        sets = (placed.join(texts, (F.col("node") == F.col("of")) & F.col("doc").eqNullSafe(F.col("of_doc")))
+                .dropDuplicates(["node"]).select("node", "minima", "cloud", "blocks", self.shingles().alias("shingles")))
+        sets = stored(sets, "sets")
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        blocks = sets.select("cloud", block.alias("i"), F.lit(True).alias("right"), "node", F.col("node").alias("root"), "minima", "shingles")
+        large = sets.filter("blocks > 1")
+        if large.isEmpty():
+            return components(stored(self.in_cells(blocks, ["cloud", "i"]), "links"))
+        first = stored(self.in_cells(blocks.unionByName(self.pivots(large)), ["cloud", "i"]), "links")
+        roots = components(first)
+        known = (large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        counts = known.groupBy("cloud", "root").agg(F.count(F.lit(1)).alias("n"))
+        several = (counts.groupBy("cloud").agg(F.max(F.struct("n", "root")).alias("major"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("roots"))
+                   .filter("roots > 1").select("cloud", F.col("major.root").alias("major"), (F.col("major.n") / F.col("all")).alias("share")))
+        open_ = (known.join(several, "cloud").withColumn("columns", F.col("blocks"))
+                 .withColumn("lines", F.greatest(F.lit(1), F.ceil(F.col("blocks") * (1 - F.col("share")))).cast("int")))
+        return components(stored(self.in_cells(self.minor_by_all(open_, "cloud"), ["cloud", "i", "j"]), "links"), roots)
+
+    def pivots(self, large: DataFrame) -> DataFrame:
+        """The first PIVOTS nodes of each cut cloud, for each of its other blocks."""
+        order = Window.partitionBy("cloud").orderBy("node")
+        chosen = (large.select("cloud", "node").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= PIVOTS).select("node"))
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        return (large.join(chosen, "node", "left_semi").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter(F.col("i") != own)
+                .select("cloud", "i", F.lit(True).alias("right"), "node", F.col("node").alias("root"), "minima", "shingles"))
 
     def resolve(self) -> DataFrame:
         """(doc, node, n_shingles, component) per input row."""
         rows, nodes = self.sketch()
-        roots = components(self.links(nodes))
+        roots = self.roots(nodes)
         named = roots.join(nodes.select("node", "doc"), "node")
         lows = named.groupBy("root").agg(F.min("doc").alias("component"))
         labels = named.join(lows, "root").select("node", "component")
