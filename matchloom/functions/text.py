@@ -44,6 +44,10 @@ DISTRIBUTOR_STYLE = r"C/\s?\d|UND|UNID|^\S+(?:\s\S+)*$"
 # Number with unit inside a product name.
 NAME_MEASURE = r"\d+[.,]?\d*\s?(ml|l|litros?|g|gr|kg|un|unidades?)\b"
 
+# Spellings of a unit after a number, and other marks that normalisation rewrites.
+LITRES, MILLILITRES, KILOGRAMS, GRAMS = "litros?|lts?|l", "ml", "quilos?|kgs?|kg", "gramas?|grs?|gr|g"
+WITHOUT_MARK, COUNT_MARK, LONE_CAN = "s/", "c/", "lt"
+
 # Token grammars: with digits and slash, letters only, lower-case letters only.
 TOKENS_ALNUM = "[A-Za-zÀ-ÿ0-9/]+"
 TOKENS_LETTERS = "[A-Za-zÀ-ÿ]+"
@@ -96,7 +100,7 @@ def decimal_point(c: Column) -> Column:
 
 
 def spell_without(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\bs/{_SPACE}*", "sem ")
+    return F.regexp_replace(c, rf"\b{WITHOUT_MARK}{_SPACE}*", "sem ")
 
 
 def unit_content(c: Column) -> Column:
@@ -105,28 +109,28 @@ def unit_content(c: Column) -> Column:
 
 
 def drop_pack_words(c: Column) -> Column:
-    counted = F.regexp_replace(c, rf"\bc/{_SPACE}*\d+\b", " ")
+    counted = F.regexp_replace(c, rf"\b{COUNT_MARK}{_SPACE}*\d+\b", " ")
     return F.regexp_replace(counted, rf"\b(?:{'|'.join(PACK_WORDS)})\b", " ")
 
 
 def litres(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{_NUMBER}{_SPACE}*(?:litros?|lts?|l)\b", "$1l")
+    return F.regexp_replace(c, rf"{_NUMBER}{_SPACE}*(?:{LITRES})\b", "$1l")
 
 
 def millilitres(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{_NUMBER}{_SPACE}*ml\b", "$1ml")
+    return F.regexp_replace(c, rf"{_NUMBER}{_SPACE}*{MILLILITRES}\b", "$1ml")
 
 
 def kilograms(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{_NUMBER}{_SPACE}*(?:quilos?|kgs?|kg)\b", "$1kg")
+    return F.regexp_replace(c, rf"{_NUMBER}{_SPACE}*(?:{KILOGRAMS})\b", "$1kg")
 
 
 def grams(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{_NUMBER}{_SPACE}*(?:gramas?|grs?|gr|g)\b", "$1g")
+    return F.regexp_replace(c, rf"{_NUMBER}{_SPACE}*(?:{GRAMS})\b", "$1g")
 
 
 def lone_can(c: Column) -> Column:
-    return F.regexp_replace(c, r"\blt\b", "lata")
+    return F.regexp_replace(c, rf"\b{LONE_CAN}\b", "lata")
 
 
 def drop_punctuation(c: Column) -> Column:

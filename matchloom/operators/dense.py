@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from matchloom.operators.topk import TIE_DIGITS, top_k
 
-BLOCK_ROWS = 2_048
+BLOCK_BYTES = 32 << 20     # vectors of one document block
+QUERY_ROWS = 256           # queries multiplied at once
+TASK_ROWS = 256            # fewer documents are not worth a block of their own
 
 
 def unit_vectors(df: DataFrame, vector: str) -> DataFrame:
@@ -18,37 +22,47 @@ def unit_vectors(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumn(vector, F.when(length == 0, v).otherwise(F.transform(v, lambda x: x / length)))
 
 
-def in_blocks(df: DataFrame, id_col: str, rows: int, block_rows: int) -> tuple[DataFrame, int]:
-    """Number of blocks follows the counted rows, so that every block fits a task whatever the table."""
-    blocks = max(1, -(-rows // block_rows))
-    return df.withColumn("block", F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")), blocks
+def document_blocks(docs: DataFrame, block_bytes: int) -> int:
+    """Blocks that fit a task, whatever the table; small tables are cut finer to use the cores at hand."""
+    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("values")).first()
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-size["values"] * 8 // block_bytes), min(cores, size["rows"] // TASK_ROWS))
 
 
-def dense_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def dense_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``queries``: query_id, vector; ``docs``: doc_id, vector; both of unit length.
 
-    One task multiplies one query block with one document block and hands on k rows per query, never the
-    score matrix. Each row moves once per block of the other side.
+    A document moves once, to its block; the queries stream past every block in batches, and a block hands on k rows
+    per query, never the score matrix.
     """
-    q, nq = in_blocks(queries.select("query_id", "vector"), "query_id", queries.count(), block_rows)
-    d, nd = in_blocks(docs.select("doc_id", "vector"), "doc_id", docs.count(), block_rows)
-    q = q.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nd - 1))))
-    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-    left = q.select(F.col("block").alias("qb"), F.col("other").alias("db"), "query_id", F.col("vector").alias("qv"))
-    right = d.select(F.col("other").alias("qb"), F.col("block").alias("db"), "doc_id", F.col("vector").alias("dv"))
-    out = (f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
-           f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
-
-    def best(ql: pd.DataFrame, dl: pd.DataFrame) -> pd.DataFrame:
-        if ql.empty or dl.empty:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
-        dl = dl.sort_values("doc_id", kind="stable")
-        scores = np.round(np.stack(ql["qv"]) @ np.stack(dl["dv"]).T, TIE_DIGITS)
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :k]      # stable: ties keep the lower id
-        return pd.DataFrame({
-            "query_id": np.repeat(ql["query_id"].to_numpy(), order.shape[1]),
-            "doc_id": dl["doc_id"].to_numpy()[order.ravel()],
-            "score": np.take_along_axis(scores, order, axis=1).ravel()})
-
-    cells = left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInPandas(best, out)
-    return top_k(cells, k)
+    blocks = document_blocks(docs, block_bytes)
+    query_type, doc_type = queries.schema["query_id"].dataType.simpleString(), docs.schema["doc_id"].dataType.simpleString()
+    placed = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asked"),
+                         F.lit(None).cast(query_type).alias("query_id"), "doc_id", "vector")
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asked"),
+                           "query_id", F.lit(None).cast(doc_type).alias("doc_id"), "vector")
+    rows = placed.unionByName(asked).repartition(blocks, "block").sortWithinPartitions("block", "asked", "doc_id")
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, ids, parts, matrix = None, [], [], None
+        for batch in batches:
+            for (own, asks), part in batch.groupby(["block", "asked"], sort=True):
+                if own != block:
+                    block, ids, parts, matrix = own, [], [], None
+                vectors = np.stack(part["vector"])
+                if not asks:
+                    ids.append(part["doc_id"].to_numpy())
+                    parts.append(vectors)
+                    continue
+                if not parts:
+                    continue
+                if matrix is None:
+                    matrix, names = np.concatenate(parts), np.concatenate(ids)
+                for at in range(0, len(part), QUERY_ROWS):
+                    scores = np.round(vectors[at:at + QUERY_ROWS] @ matrix.T, TIE_DIGITS)
+                    order = np.argsort(-scores, axis=1, kind="stable")[:, :k]  # stable: ties keep the lower id
+                    yield pd.DataFrame({"query_id": np.repeat(part["query_id"].to_numpy()[at:at + QUERY_ROWS], order.shape[1]),
+                                        "doc_id": names[order.ravel()],
+                                        "score": np.take_along_axis(scores, order, axis=1).ravel()})
+
+    return top_k(rows.mapInPandas(best, f"query_id {query_type}, doc_id {doc_type}, score double"), k)

@@ -16,8 +16,8 @@ BATCH_ORDER_LINE = 'Pedido %d: "%s"\nCandidatos:\n'
 CANDIDATE_LINE = "%d. %s (marca: %s)"
 ANSWER_SCHEMA = "ranking array<string>"
 BATCH_ANSWER_SCHEMA = "resultados array<struct<pedido: string, ranking: array<string>>>"
-LEDGER_SCHEMA = "qi bigint, ranking array<int>"
-BATCH_LEDGER_SCHEMA = "lote bigint, rankings map<string, array<int>>"
+LEDGER_SCHEMA = "qi bigint, ranking array<int>, seq bigint"
+BATCH_LEDGER_SCHEMA = "lote bigint, rankings map<string, array<int>>, seq bigint"
 # ---------------------------------------------------------------- end of fixed values
 
 
@@ -79,13 +79,14 @@ def parse_answers(answers: DataFrame, text: str = "answer") -> DataFrame:
 def parse_batch_answers(answers: DataFrame, text: str = "answer") -> DataFrame:
     """batch, query_id, ranking from free text: the JSON from the first brace to the last.
 
-    Only queries of the answer's own batch count, and only usable rankings.
+    Only queries of the answer's own batch count, and only usable rankings; of several for one query the last counts.
     """
     body = F.from_json(F.regexp_extract(F.col(text), r"(?s)\{.*\}", 0), BATCH_ANSWER_SCHEMA)["resultados"]
-    return (answers.select("batch", F.explode(body).alias("item"))
-            .select("batch", F.expr("try_cast(item.pedido AS bigint)").alias("query_id"),
+    return (answers.select("batch", F.posexplode(body).alias("at", "item"))
+            .select("batch", "at", F.expr("try_cast(item.pedido AS bigint)").alias("query_id"),
                     clean_ranking(F.col("item.ranking")).alias("ranking"))
-            .filter((batch_no(F.col("query_id")) == F.col("batch")) & (F.size("ranking") > 0)))
+            .filter((batch_no(F.col("query_id")) == F.col("batch")) & (F.size("ranking") > 0))
+            .groupBy("batch", "query_id").agg(F.max_by("ranking", "at").alias("ranking")))
 
 
 def with_fallback(queries: DataFrame, parsed: DataFrame) -> DataFrame:
@@ -108,7 +109,7 @@ def rerank(rankings: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def latest_answers(ledger: DataFrame) -> DataFrame:
-    """query_id, ranking of the newest entry per query. ``ledger``: query_id, seq, ranking."""
+    """query_id, ranking of the newest entry per query. ``ledger``: query_id, seq (any sortable order), ranking."""
     return ledger.groupBy("query_id").agg(F.max_by("ranking", "seq").alias("ranking"))
 
 

@@ -1,14 +1,17 @@
 """TF-IDF and BM25 over an inverted index held in DataFrames, with exact top-k search.
 
-``SparseIndex.fit`` counts terms and statistics (like an ML estimator it runs jobs); ``search`` returns a
-lazy ranking. Two exact plans compute it:
+``SparseIndex.fit`` counts terms and statistics, and ``search`` measures its queries; both run jobs, as an ML
+estimator does. The ranking itself is lazy. Two exact plans compute it, with the same rows:
 
 * *direct*: the query vectors, once their counted size proves small, are broadcast to the postings, which
   are partitioned by text. Scores add up inside each task; only k rows per query and task are shuffled.
-* *pruned*: for many queries. A lower bound of the k-th best score, taken from each query's rarest terms,
-  tells which frequent terms cannot lift a text into the ranking on their own. Only the other terms are
+* *pruned*: for many queries. A lower bound of the k-th best score, taken from the best postings of each query
+  term and from its rarest terms, tells which frequent terms cannot lift a text into the ranking on their own. Only the other terms are
   joined; the few surviving pairs are completed with the rest. Frequent terms thus never pair all queries
   with all texts, and those that are needed are salted.
+
+A BM25 floor below zero (most of the vocabulary in more than half of the records) makes shared terms lower scores. No
+bound holds then, so either plan sums all pairs that share a term, and records that share none rank above them at 0.
 """
 
 from __future__ import annotations
@@ -20,10 +23,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from matchloom.operators import corpus
 from matchloom.operators.joins import (
     BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, hot_keys, lookup, salted_join)
-from matchloom.operators.topk import pad_zero, top_k
+from matchloom.operators.topk import TIE_DIGITS, pad_zero, top_k
+from matchloom.sources.records import number_rows
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
-SEED_ROWS = 2_000          # postings looked at per query for the lower bound
+SEED_ROWS = 2_000          # postings of a query's rarest terms looked at for the lower bound, where they are that few
+CHAMPIONS = 32             # postings of highest weight per term, looked at for every query
 PAIRS_PER_CORE = 50_000_000      # beyond either, the direct plan gives way to the pruned one
 SUMS_PER_CORE = 5_000_000
 MARGIN = 1e-7              # far above rounding noise of score sums, far below any score gap that matters
@@ -61,7 +66,9 @@ class SparseIndex:
     postings: int
     n_texts: int
     norms: DataFrame | None = None     # text_id, norm of the raw TF-IDF vector
+    negative: bool = False             # BM25 floor below zero: sharing a term can lower a score
     kept: list[DataFrame] = field(default_factory=list)
+    copies: dict[int, DataFrame] = field(default_factory=dict)      # by k: text_id, doc_id of its k lowest copies
 
     @classmethod
     def fit(cls, docs: DataFrame, analyzer: str, weighting: str) -> "SparseIndex":
@@ -79,7 +86,8 @@ class SparseIndex:
         vocabulary = (tfidf_vocabulary(df_table, n) if weighting == "tfidf"
                       else bm25_vocabulary(df_table, n, stats["mean_raw"] or 0.0))
         index = cls(weighting, analyzer, docs, counts, vocabulary, n, (total["w"] or 0) / n if n else 0.0,
-                    stats["terms"], stats["bytes"] or 0, stats["postings"] or 0, total["texts"], kept=[texts, counts, df_table])
+                    stats["terms"], stats["bytes"] or 0, stats["postings"] or 0, total["texts"], kept=[texts, counts, df_table],
+                    negative=weighting == "bm25" and (stats["mean_raw"] or 0.0) < 0)
         if weighting == "tfidf":
             index.norms = index._keep(index._with_idf(counts).groupBy("text_id").agg(
                 F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("length")))
@@ -89,9 +97,19 @@ class SparseIndex:
         self.kept.append(df.persist())
         return df
 
-    def release(self) -> None:
-        while self.kept:
+    def release(self, mark: int = 0) -> None:
+        """Drop what was persisted since ``mark`` frames were held; everything, by default."""
+        while len(self.kept) > mark:
             self.kept.pop().unpersist()
+        if mark == 0:
+            while self.copies:
+                self.copies.popitem()[1].unpersist()
+
+    def copies_of(self, k: int) -> DataFrame:
+        """The k lowest documents of every text; made from the catalog once and kept with the index."""
+        if k not in self.copies:
+            self.copies[k] = corpus.first_copies(self.docs, "doc_id", k).persist()
+        return self.copies[k]
 
     # ------------------------------------------------------------ vectors
     def _with_idf(self, counts: DataFrame) -> DataFrame:
@@ -149,16 +167,20 @@ class SparseIndex:
                  and size["texts"] * self.n_texts <= SUMS_PER_CORE * cores)
         if plan == "auto":
             plan = "direct" if small and light else "pruned"
-        scored = self._direct(vectors) if plan == "direct" else self._pruned(vectors, k)
+        if self.negative:                                  # bounds hold only where a shared term cannot lower a score
+            scored = self._keep(self._summed(vectors, small and plan == "direct"))
+        else:
+            scored = self._direct(vectors) if plan == "direct" else self._pruned(vectors, k)
         best_texts = top_k(scored, k, "qid", "text_id")
-        copies = corpus.first_copies(self.docs, "doc_id", k)
-        best = top_k(best_texts.join(copies, "text_id"), k, "qid")
+        best = top_k(best_texts.join(self.copies_of(k), "text_id"), k, "qid")
         asked = queries.join(self._query_keys(distinct), "norm").select("query_id", "qid")
         if pad:
             best = self._keep(best)
-            distinct_ids = distinct.select(F.col("text_id").alias("qid"))
-            best = pad_zero(distinct_ids, best.filter(F.col("score") > 0) if self.weighting == "tfidf" else best,
-                            best.select("qid", "doc_id"), self.docs.select("doc_id"), k, "qid")
+            asked_ids = distinct.select(F.col("text_id").alias("qid"))
+            if self.negative:
+                best = top_k(best.select("qid", "doc_id", "score").unionByName(self._unscored(asked_ids, best, scored, k)).distinct(), k, "qid")
+            else:
+                best = pad_zero(asked_ids, best.filter(F.col("score") > 0), self.docs.select("doc_id"), k, "qid")
         return asked.join(best, "qid").select("query_id", "rank", "doc_id", "score")
 
     def _query_keys(self, distinct: DataFrame) -> DataFrame:
@@ -174,6 +196,42 @@ class SparseIndex:
         return (dots.join(self.norms.hint("shuffle_hash"), "text_id")
                 .select("qid", "text_id", (F.col("score") / F.col("length")).alias("score")))
 
+    def _summed(self, vectors: DataFrame, small: bool) -> DataFrame:
+        """Scores of all pairs that share a term, whatever their sign."""
+        if small:
+            return self._direct(vectors)
+        pairs = salted_join(self.counts.join(vectors.select("term", "idf").distinct(), "term"),
+                            vectors.select("qid", "term", "wq"), "term", "text_id", self._hot_terms())
+        return pairs.groupBy("qid", "text_id").agg(F.sum(F.col("wq") * self._contribution()).alias("score"))
+
+    def _unscored(self, asked: DataFrame, best: DataFrame, scored: DataFrame, k: int) -> DataFrame:
+        """The k lowest documents at score 0 for queries with fewer than k positive ones.
+
+        Documents have consecutive places in order of their id. The j-th free place of a query is j plus the number of
+        taken places (score not 0) with at most j free ones before them.
+        """
+        positive = best.filter("score > 0").groupBy("qid").agg(F.count(F.lit(1)).alias("have"))
+        short = asked.join(positive, "qid", "left").filter(F.coalesce("have", F.lit(0)) < k).select("qid")
+        in_order = self._keep(self.docs.select("doc_id", "norm").orderBy("doc_id"))       # kept, so that it is sorted once
+        places = self._keep(number_rows(in_order, "place"))
+        of_text = places.select(F.sha2("norm", 256).alias("text_key"), "place", "doc_id")
+        texts = of_text.groupBy("text_key").agg(F.min("doc_id").alias("text_id"))
+        taken = (scored.withColumn("score", F.round("score", TIE_DIGITS)).filter("score <> 0").join(short, "qid", "left_semi")
+                 .join(texts, "text_id").join(of_text.select("text_key", "place"), "text_key"))
+        order = Window.partitionBy("qid").orderBy("place")
+        gaps = (taken.select("qid", (F.col("place") - F.row_number().over(order) + 1).cast("int").alias("free")).filter(F.col("free") < k)
+                .groupBy("qid").agg(F.collect_list("free").alias("free")))
+        free = (short.join(gaps, "qid", "left")
+                .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+                .withColumn("free", F.coalesce("free", F.array().cast("array<int>")))
+                .select("qid", (F.col("j") + F.size(F.filter("free", lambda f: f <= F.col("j")))).cast("long").alias("place")))
+        return free.join(places.select("place", "doc_id"), "place").select("qid", "doc_id", F.lit(0.0).alias("score"))
+
+    def champions(self, postings: DataFrame) -> DataFrame:
+        """The CHAMPIONS postings of highest weight per term; each task keeps that many before the shuffle."""
+        order = Window.partitionBy("term").orderBy(F.desc("wd"), "text_id")
+        return postings.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= CHAMPIONS).drop("place")
+
     def _pruned(self, vectors: DataFrame, k: int) -> DataFrame:
         cosine = self.norms is not None
         terms = vectors.select("term", "idf").distinct()
@@ -184,8 +242,9 @@ class SparseIndex:
         rare_first = Window.partitionBy("qid").orderBy("text_df", "term").rowsBetween(
             Window.unboundedPreceding, 0)
         seeds = vectors.withColumn("seen", F.sum("text_df").over(rare_first)).filter(F.col("seen") <= SEED_ROWS)
-        found = top_k(seeds.select("qid", "term", "wq").join(postings, "term")
-                      .groupBy("qid", "text_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score")),
+        by_rare = seeds.select("qid", "term", "wq").join(postings, "term").select("qid", "text_id", "term", "wq", "wd")
+        by_weight = vectors.select("qid", "term", "wq").join(self.champions(postings), "term").select("qid", "text_id", "term", "wq", "wd")
+        found = top_k(by_rare.unionByName(by_weight).dropDuplicates(["qid", "text_id", "term"]).groupBy("qid", "text_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score")),
                       k, "qid", "text_id").select("qid", "text_id")
         exact = (found.join(vectors.select("qid", "term", "wq"), "qid").join(postings, ["text_id", "term"])
                  .groupBy("qid", "text_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score")))

@@ -18,18 +18,17 @@ def top_k(scored: DataFrame, k: int, query: str = "query_id", item: str = "doc_i
             .select(query, "rank", item, "score"))
 
 
-def pad_zero(queries: DataFrame, ranked: DataFrame, scored_low: DataFrame, doc_ids: DataFrame, k: int,
-             query: str = "query_id") -> DataFrame:
-    """Always answer: fill short lists with the lowest unscored document ids at score 0, then rank again.
+def pad_zero(queries: DataFrame, positive: DataFrame, doc_ids: DataFrame, k: int, query: str = "query_id") -> DataFrame:
+    """Always answer: fill short lists with the lowest other document ids at score 0, then rank again.
 
-    ``scored_low`` holds the (query, doc_id) pairs of short lists; with positive scores these are at most
-    k - 1 per query, so k unscored ids lie among the lowest 2k of the catalog.
+    ``positive`` holds the k best rows of positive score. A short list has at most k - 1 of them and no score is
+    negative, so its zeros lie among the 2k lowest ids of the catalog.
     """
     pool = doc_ids.orderBy("doc_id").limit(2 * k).agg(F.array_sort(F.collect_list("doc_id")).alias("pool"))
-    counted = ranked.groupBy(query).agg(F.count(F.lit(1)).alias("have"))
+    counted = positive.groupBy(query).agg(F.count(F.lit(1)).alias("have"))
     short = (queries.select(query).join(counted, query, "left")
              .filter(F.coalesce("have", F.lit(0)) < k).select(query))
     zeros = (short.select(query, F.explode(pool.scalar()).alias("doc_id"))
-             .join(scored_low, [query, "doc_id"], "left_anti")
+             .join(positive.select(query, "doc_id"), [query, "doc_id"], "left_anti")
              .select(query, "doc_id", F.lit(0.0).alias("score")))
-    return top_k(ranked.select(query, "doc_id", "score").unionByName(zeros), k, query)
+    return top_k(positive.select(query, "doc_id", "score").unionByName(zeros), k, query)

@@ -9,6 +9,9 @@ from matchloom.operators import compare, evaluate as E, nomatch as N, profile as
 from matchloom.plans import roles as R, shared, sql as S
 
 C = F.col
+#: What is known of each system besides its ranks: effort, kind of index, whether it needs vectors.
+SYSTEM_NOTES = [("tfidf_char", "low", "character n-grams", False), ("tfidf_word", "low", "words", False), ("bm25", "low", "words and lengths", False)]
+FEW_SHOT = 'Example: "STEEL BOLT 14 GR CX 12X14 GR", first candidate of another size -> {"ranking": [2, 1, 3]}'
 
 
 # ------------------------------------------------------------------ evaluation
@@ -30,35 +33,41 @@ def predictions_wide(spark, sf):
     return E.wide_predictions(ranks, tops, R.products(spark, sf), R.orders(spark, sf))
 
 
-def _grid(spark, sf, split):
-    gold = _gold(spark, sf).filter(C("split") == split)
-    out = None
-    for config, (family, analyzer, weighting, brand) in shared.GRID.items():
-        ranks = E.gold_ranks(gold, shared.order_ranking(spark, sf, analyzer, weighting, brand)).select(
-            F.lit(family).alias("family"), F.lit(config).alias("config"), "rank")
-        out = ranks if out is None else out.unionByName(ranks)
-    return out
+_GRID_SCHEMA = "family string, config string, split string, n long, p_at_1 double, mrr_at_5 double, r_at_5 double"
+
+
+def _grid(spark, sf):
+    """Metrics of every configuration on both splits. Each configuration is scored once and released; what is kept of it
+    is one row per split."""
+    def build():
+        rows = []
+        for config, (family, analyzer, weighting, brand) in shared.GRID.items():
+            with shared.fitted(spark, sf, analyzer, weighting, brand) as index:
+                ranks = E.gold_ranks(_gold(spark, sf), index.search(shared.order_texts(spark, sf), pad=True), "split")
+                rows += [(family, config, *r) for r in E.metrics(ranks, "split").select("split", "n", "p_at_1", "mrr_at_5", "r_at_5").collect()]
+        return rows
+    return spark.createDataFrame(shared._once(spark, (sf, "grid"), build), _GRID_SCHEMA)
 
 
 def leaderboard(spark, sf):
-    return E.leaderboard(_grid(spark, sf, "val"))
+    return _grid(spark, sf).filter("split = 'val'").drop("split").orderBy(F.desc("p_at_1"), "config")
 
 
 def best_configs(spark, sf):
-    return E.best_configs(E.leaderboard(_grid(spark, sf, "val"))).select("family", "config", "p_at_1")
+    return E.best_configs(leaderboard(spark, sf)).select("family", "config", "p_at_1")
 
 
 def frozen_eval(spark, sf):
     """Configurations chosen on one split, measured once on the other."""
     chosen = best_configs(spark, sf).select("family", "config")
-    return E.metrics(_grid(spark, sf, "test").join(chosen, ["family", "config"], "left_semi"), "family", "config")
+    return _grid(spark, sf).filter("split = 'test'").drop("split").join(chosen, ["family", "config"], "left_semi")
 
 
 # ------------------------------------------------------------------ comparison
 def system_compare(spark, sf):
-    """Stored ranks of all systems, with the static notes kept on each."""
-    notes = F.create_map(F.lit("tfidf_char"), F.lit("low"), F.lit("tfidf_word"), F.lit("low"), F.lit("bm25"), F.lit("low"))
-    return E.metrics(shared.system_ranks(spark, sf), "system").withColumn("complexity", notes[C("system")])
+    """Stored ranks of all systems, joined with the table of what is known about them besides."""
+    notes = spark.createDataFrame(SYSTEM_NOTES, "system string, complexity string, index_kind string, vectors boolean")
+    return E.metrics(shared.system_ranks(spark, sf), "system").join(notes, "system", "left")
 
 
 def query_segments(spark, sf):
@@ -115,9 +124,12 @@ def _answers(spark, sf):
     return R.orders(spark, sf).select("query_id", text.alias("answer"))
 
 
-def _batch_answers(spark, sf):
+def _batch_answers(spark, sf, again=False):
+    """``again``: every fifth order is answered a second time, with its candidates 2 and 1."""
     item = F.concat(F.lit('{"pedido": '), C("query_id").cast("string"), F.lit(', "ranking": '),
                     _ranking_json(C("query_id")), F.lit("}"))
+    if again:
+        item = F.when(C("query_id") % 5 == 0, F.concat(item, F.lit(',\n{"pedido": '), C("query_id").cast("string"), F.lit(', "ranking": [2, 1]}'))).otherwise(item)
     lines = R.orders(spark, sf).select(RR.batch_no(C("query_id")).alias("batch"), "query_id", item.alias("item"))
     listed = F.array_sort(F.collect_list(F.struct("query_id", "item")))
     return lines.groupBy("batch").agg(F.concat(
@@ -131,7 +143,7 @@ def requests(spark, sf):
 
 def requests_few_shot(spark, sf):
     return RR.requests(R.orders(spark, sf), _candidates(spark, sf), R.products(spark, sf),
-                       'Example: "SKOL LATA 350ml C/12" -> {"ranking": [2, 3, 1]}')
+                       FEW_SHOT)
 
 
 def _ledger(spark, sf):
@@ -183,6 +195,12 @@ def reranked(spark, sf):
     return _reranked(spark, sf)
 
 
+def batch_reranked(spark, sf):
+    """Free-text batch answers, some with a query answered twice, to ranked lists."""
+    done = RR.with_fallback(R.orders(spark, sf), RR.parse_batch_answers(_batch_answers(spark, sf, again=True)).drop("batch"))
+    return RR.rerank(done, _candidates(spark, sf))
+
+
 def rerank_metrics(spark, sf):
     return E.metrics(E.gold_ranks(_gold(spark, sf), _reranked(spark, sf), "split"), "split")
 
@@ -325,8 +343,8 @@ _CANDS = _tops_sql(("char35", "tfidf", False), 10)
 
 _SEGMENTS = f"""SELECT query_id, CASE WHEN len(s) = 0 THEN ['common'] ELSE s END AS s FROM (SELECT query_id,
  list_filter([CASE WHEN upper(text) = text THEN 'upper' END,
-  CASE WHEN regexp_matches(text, 'C/\\s?\\d+|\\b(?:UND|UNID|UN)\\b|\\d+\\s?X\\s?\\d+|\\bCX\\b|\\bFD\\b|\\bPCT\\b', 'i') THEN 'packaging' END,
-  CASE WHEN regexp_matches(text, '\\d+\\s?(?:ml|l|litros?|g|gr|kg)\\b', 'i') THEN 'measure' END,
+  CASE WHEN regexp_matches(text, '{T.SEGMENT_PACK}', 'i') THEN 'packaging' END,
+  CASE WHEN regexp_matches(text, '{T.SEGMENT_MEASURE}', 'i') THEN 'measure' END,
   CASE WHEN {S.token_count('text')} <= 4 THEN 'short' END, CASE WHEN {S.token_count('text')} >= 10 THEN 'long' END],
   lambda x: x IS NOT NULL) AS s FROM ({S.ORDERS}))"""
 
@@ -343,11 +361,12 @@ _CLEAN = """SELECT query_id, list(n ORDER BY pos) AS ranking FROM (SELECT *, row
  lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS p FROM ans)) WHERE n BETWEEN 1 AND 10 GROUP BY ALL)) WHERE at_place <= 5 GROUP BY query_id"""
 _PARSED = f"""ans AS ({_ANSWERS}), cl AS ({_CLEAN}),
  pa AS (SELECT o.query_id, coalesce(cl.ranking, []) AS ranking FROM ({S.ORDERS}) o LEFT JOIN cl USING (query_id))"""
-_RERANK = f"""{_PARSED}, cands AS MATERIALIZED (SELECT * FROM {_CANDS}),
+_RANKED_LISTS = f""", cands AS MATERIALIZED (SELECT * FROM {_CANDS}),
  w AS (SELECT c.query_id, c.doc_id, coalesce(list_position(CASE WHEN len(p.ranking) = 0 THEN [1, 2, 3, 4, 5] ELSE p.ranking END, c.rank),
   100 + c.rank) AS pos FROM cands c JOIN pa p USING (query_id)),
  rr AS (SELECT query_id, rank::INTEGER AS rank, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pos) AS rank FROM w)
   WHERE rank <= 5)"""
+_RERANK = _PARSED + _RANKED_LISTS
 
 _LEDGER = """SELECT conv_id AS query_id, turn AS seq, (length(text) % 10 + 1) || ',' || (length(text) % 7 + 1) AS ranking
  FROM conversations"""
@@ -408,7 +427,8 @@ QUERIES: dict = {
     "best_configs": (best_configs, f"WITH {_GRID}, {_BEST} SELECT * FROM best"),
     "frozen_eval": (frozen_eval, f"""WITH {_GRID}, {_BEST} SELECT family, config, {_METRICS} FROM gr
  WHERE split = 'test' AND config IN (SELECT config FROM best) GROUP BY family, config"""),
-    "system_compare": (system_compare, f"WITH {_SYS} SELECT system, {_METRICS}, 'low' AS complexity FROM sr GROUP BY system"),
+    "system_compare": (system_compare, f"""WITH {_SYS}, notes(system, complexity, index_kind, vectors) AS (VALUES {', '.join(map(str, SYSTEM_NOTES))}),
+ m AS (SELECT system, {_METRICS} FROM sr GROUP BY system) SELECT m.*, complexity, index_kind, vectors FROM m LEFT JOIN notes USING (system)"""),
     "query_segments": (query_segments, f"SELECT query_id, unnest(s) AS segment FROM ({_SEGMENTS})"),
     "segment_scores": (segment_scores, f"""WITH {_SYS}, sg AS (SELECT query_id, unnest(s) AS segment FROM ({_SEGMENTS}))
  SELECT segment, count(DISTINCT query_id) AS n, """ + ", ".join(
@@ -426,10 +446,9 @@ QUERIES: dict = {
     "error_list": (error_list, f"WITH {_SYS} SELECT system, split, query_id, gold_id, rank FROM sr WHERE rank <> 1"),
     "distributor_hits": (distributor_hits, f"""SELECT o.query_id, o.text, o.gold_id FROM ({_ranks_sql(shared.SYSTEMS['tfidf_char'])}) r
  JOIN ({S.ORDERS}) o USING (query_id) WHERE r.rank = 1 AND upper(o.text) = o.text
- AND regexp_matches(o.text, 'C/\\s?\\d|UND|UNID|^\\S+(?:\\s\\S+)*$') ORDER BY o.query_id LIMIT 6"""),
+ AND regexp_matches(o.text, '{T.DISTRIBUTOR_STYLE}') ORDER BY o.query_id LIMIT 6"""),
     "requests": (requests, _requests_sql("''")),
-    "requests_few_shot": (requests_few_shot, _requests_sql(
-        """'Example: "SKOL LATA 350ml C/12" -> {"ranking": [2, 3, 1]}' || chr(10) || chr(10)""")),
+    "requests_few_shot": (requests_few_shot, _requests_sql(f"'{FEW_SHOT}' || chr(10) || chr(10)")),
     "resume_pending": (resume_pending, f"SELECT query_id, text FROM ({S.ORDERS}) WHERE query_id NOT IN (SELECT conv_id FROM conversations)"),
     "ledger_latest": (ledger_latest, f"SELECT query_id, arg_max(ranking, seq) AS ranking FROM ({_LEDGER}) GROUP BY query_id"),
     "ledger_flatten": (ledger_flatten, _LEDGER),
@@ -442,6 +461,9 @@ QUERIES: dict = {
  cl AS ({_CLEAN}) SELECT query_id // 32 AS batch, query_id, array_to_string(ranking, ',') AS ranking FROM cl"""),
     "rerank_fallbacks": (fallbacks, f"WITH {_PARSED} SELECT count(*) AS queries, count(*) FILTER (WHERE len(ranking) = 0) AS fallbacks FROM pa"),
     "reranked_top5": (reranked, f"WITH {_RERANK} SELECT * FROM rr"),
+    "batch_reranked_top5": (batch_reranked, f"""WITH ans AS (SELECT query_id, CASE WHEN query_id % 5 = 0 THEN '[2, 1]' ELSE {_JSON} END AS a
+ FROM (SELECT query_id, {_FIVE} AS f FROM ({S.ORDERS}))), cl AS ({_CLEAN}),
+ pa AS (SELECT o.query_id, coalesce(cl.ranking, []) AS ranking FROM ({S.ORDERS}) o LEFT JOIN cl USING (query_id)){_RANKED_LISTS} SELECT * FROM rr"""),
     "rerank_metrics": (rerank_metrics, f"""WITH {_RERANK}, g AS (SELECT o.split, coalesce(rr.rank, 0) AS rank FROM ({S.ORDERS}) o
  LEFT JOIN rr ON rr.query_id = o.query_id AND rr.doc_id = o.gold_id) SELECT split, {_METRICS} FROM g GROUP BY split"""),
     "vocabulary_union": (vocabulary_union, _vocab_sql(S.ARTICLES)),

@@ -8,6 +8,7 @@ from matchloom.functions import text as T
 from matchloom.operators import corpus
 from matchloom.operators.dense import dense_top_k, unit_vectors
 from matchloom.operators.evaluate import gold_ranks, metrics
+from matchloom.operators.sparse import SparseIndex
 from matchloom.operators.topk import top_k
 from matchloom.plans import roles as R, shared, sql as S
 
@@ -122,8 +123,7 @@ def _top_sql(analyzer, weighting, catalog, queries, k=5, pad=False):
 
 
 def _idf_sql(analyzer, weighting):
-    return (S.scored(analyzer, weighting, S.ARTICLE_TEXTS, S.PASSAGE_TEXTS)
-            + " SELECT term, df::BIGINT AS df, round(idf, 6) AS idf FROM dfs JOIN idf USING (term)")
+    return S.vocabulary(analyzer, weighting, S.ARTICLE_TEXTS)
 
 
 _DENSE = """SELECT q.vec_id AS query_id, d.vec_id AS doc_id,
@@ -184,6 +184,18 @@ QUERIES: dict = {
 }
 
 
+def bm25_negative(spark, sf):
+    """Records that share most of their words: the idf floor is negative, and records without a query word rank above
+    those with one."""
+    catalog = R.table(spark, sf, "part").select(
+        C("p_partkey").alias("doc_id"), F.when(C("p_partkey") % 4 == 0, F.lower("p_type")).otherwise(
+            F.concat(F.lit("item of gr "), F.lower("p_type"))).alias("norm"))
+    asked = R.table(spark, sf, "nation").select(C("n_nationkey").cast("long").alias("query_id"), F.when(
+        C("n_regionkey") % 3 == 0, "item economy").when(C("n_regionkey") % 3 == 1, "item gr").otherwise("of promo unknown").alias("norm"))
+    index = shared._once(spark, (sf, "alike"), lambda: SparseIndex.fit(catalog, "word", "bm25"))
+    return _six(index.search(asked, 5, pad=True))
+
+
 def incremental_match(spark, sf):
     """The orders as a stream of files, ranked micro-batch by micro-batch."""
     import uuid
@@ -200,4 +212,8 @@ def incremental_match(spark, sf):
     return _six(spark.read.parquet(f"{home}/out").select("query_id", "rank", "doc_id", "score"))
 
 
+QUERIES["bm25_negative"] = (bm25_negative, _top_sql("word", "bm25", """SELECT p_partkey AS doc_id,
+ CASE WHEN p_partkey % 4 = 0 THEN lower(p_type) ELSE 'item of gr ' || lower(p_type) END AS norm FROM part""",
+ """SELECT n_nationkey::BIGINT AS query_id, CASE n_regionkey % 3 WHEN 0 THEN 'item economy' WHEN 1 THEN 'item gr'
+ ELSE 'of promo unknown' END AS norm FROM nation""", 5, True))
 QUERIES["incremental_match"] = (incremental_match, QUERIES["bm25_products"][1])

@@ -23,12 +23,12 @@ def rx(pattern: str) -> str:
 def norm(x: str) -> str:
     num = r"(\d+(?:\.\d+)?)"
     t = f"strip_accents(lower(coalesce({x}, '')))"
-    steps = [(r"[^\x00-\x7F]", ""), (",", "."), (r"\bs/\s*", "sem "),
-             (rf"\b\d+\s*x\s*{num}\b", r"\1"), (r"\bc/\s*\d+\b", " ")]
+    steps = [(r"[^\x00-\x7F]", ""), (",", "."), (rf"\b{T.WITHOUT_MARK}\s*", "sem "),
+             (rf"\b\d+\s*x\s*{num}\b", r"\1"), (rf"\b{T.COUNT_MARK}\s*\d+\b", " ")]
     steps += [(rf"\b{w}\b", " ") for w in T.PACK_WORDS]
-    steps += [(rf"{num}\s*(litros?|lts?|l)\b", r"\1l"), (rf"{num}\s*ml\b", r"\1ml"),
-              (rf"{num}\s*(quilos?|kgs?|kg)\b", r"\1kg"), (rf"{num}\s*(gramas?|grs?|gr|g)\b", r"\1g"),
-              (r"\blt\b", "lata"), (r"[^a-z0-9. ]", " "),
+    steps += [(rf"{num}\s*({T.LITRES})\b", r"\1l"), (rf"{num}\s*{T.MILLILITRES}\b", r"\1ml"),
+              (rf"{num}\s*({T.KILOGRAMS})\b", r"\1kg"), (rf"{num}\s*({T.GRAMS})\b", r"\1g"),
+              (rf"\b{T.LONE_CAN}\b", "lata"), (r"[^a-z0-9. ]", " "),
               (r"\.{2,}", " "), (r"\.([^0-9])", r" \1"), (r"([^0-9])\.", r"\1 ")]
     for pattern, out in steps:
         t = f"regexp_replace({t}, '{pattern}', '{out}', 'g')"
@@ -94,6 +94,16 @@ def terms(rel: str, key: str, analyzer: str) -> str:
     return f"SELECT {key}, term, count(*) AS tf FROM ({src}) GROUP BY ALL"
 
 
+def vocabulary(analyzer: str, weighting: str, catalog: str) -> str:
+    """(term, df, idf) of a catalog (doc_id, norm), without any scores."""
+    value = ("ln((1 + n) / (1 + df)) + 1" if weighting == "tfidf"
+             else "CASE WHEN r < 0 THEN 0.25 * avg(r) OVER () ELSE r END")
+    return f"""WITH cat AS MATERIALIZED ({catalog}), n AS (SELECT count(*)::DOUBLE AS n FROM cat),
+ dfs AS (SELECT term, count(*)::DOUBLE AS df FROM ({terms('cat', 'doc_id', analyzer)}) GROUP BY term),
+ raw AS (SELECT term, df, n, ln(n - df + 0.5) - ln(df + 0.5) AS r FROM dfs, n)
+ SELECT term, df::BIGINT AS df, round({value}, 6) AS idf FROM raw"""
+
+
 def scored(analyzer: str, weighting: str, catalog: str, queries: str) -> str:
     """CTEs up to ``s(query_id, doc_id, score)``. catalog: doc_id, norm. queries: query_id, norm."""
     head = f"""WITH cat AS MATERIALIZED ({catalog}), qs AS MATERIALIZED ({queries}),
@@ -135,11 +145,6 @@ def search(analyzer: str, weighting: str, catalog: str, queries: str, k: int = 5
     return scored(analyzer, weighting, catalog, queries) + ranked(k, pad)
 
 
-def nested(body: str, tail: str) -> str:
-    """A WITH query as a sub-query source."""
-    return f"({body} {tail})"
-
-
 PRODUCT_TEXTS = catalog_norm(PRODUCTS, False)
 PRODUCT_BRAND_TEXTS = catalog_norm(PRODUCTS, True)
 ARTICLE_TEXTS = catalog_norm(ARTICLES, False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: str | int = "*", app: str = "matchloom", memory: str = "12g") -> SparkSession:
@@ -25,19 +25,14 @@ def local_session(cores: str | int = "*", app: str = "matchloom", memory: str =
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it; a local one only when none is named."""
+    """Folder every executor can reach, as the cluster names it. Only a local master may do without a name."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="matchloom-")
         spark.conf.set("spark.checkpoint.dir", named)
-    return named
-
-
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint in the shared folder, so that a lost executor never forces a long replay."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager)
+    return named.rstrip("/")
 
 
 def partitions(spark: SparkSession) -> int:

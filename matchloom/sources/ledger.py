@@ -2,29 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from matchloom.operators.rerank import BATCH_LEDGER_SCHEMA, LEDGER_SCHEMA, flatten_batches, latest_answers
 
 
 def append_answers(answers: DataFrame, path: str, run: int) -> None:
-    """``answers``: query_id, ranking. A rerun of the same run number replaces that run's folder only."""
-    answers.select(F.col("query_id").alias("qi"), "ranking").write.mode("overwrite").json(f"{path}/run={run}")
+    """``answers``: query_id, ranking, and seq where a run may answer a query twice. A rerun of the same run number
+    replaces that run's folder only."""
+    seq = F.col("seq") if "seq" in answers.columns else F.lit(0)
+    answers.select(F.col("query_id").alias("qi"), "ranking", seq.cast("bigint").alias("seq")).write.mode("overwrite").json(f"{path}/run={run}")
+
+
+def _order() -> Column:
+    """Place of a line among all answers: its run, its number in the run, then its place in the file."""
+    return F.struct(F.coalesce("run", F.lit(-1)).alias("run"), F.coalesce("seq", F.lit(-1)).alias("seq"),
+                    F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+
+
+def _lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema + ", run bigint").json(path).withColumn("order", _order())
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """query_id, seq, ranking of all runs; ``seq`` is the run number."""
-    return spark.read.schema(LEDGER_SCHEMA + ", run bigint").option("basePath", path).json(path).select(
-        F.col("qi").alias("query_id"), F.col("run").alias("seq"), "ranking")
+    """query_id, seq, ranking of all runs; ``seq`` orders the answers, later lines last."""
+    return _lines(spark, path, LEDGER_SCHEMA).select(F.col("qi").alias("query_id"), F.col("order").alias("seq"), "ranking")
 
 
 def answered(spark: SparkSession, path: str) -> DataFrame:
     return latest_answers(read_ledger(spark, path))
 
 
+def append_batches(batches: DataFrame, path: str, run: int) -> None:
+    """``batches``: batch, rankings (map of query to ranking)."""
+    batches.select(F.col("batch").alias("lote"), "rankings").write.mode("overwrite").json(f"{path}/run={run}")
+
+
 def read_batch_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """query_id, ranking from lines that hold the rankings of a whole batch."""
-    return flatten_batches(spark.read.schema(BATCH_LEDGER_SCHEMA).json(path)).select("query_id", "ranking")
+    """query_id, ranking from lines that hold the rankings of a whole batch; the last line that names a query counts."""
+    return latest_answers(flatten_batches(_lines(spark, path, BATCH_LEDGER_SCHEMA)).select("query_id", F.col("order").alias("seq"), "ranking"))
 
 
 def read_raw_answers(spark: SparkSession, path: str) -> DataFrame:

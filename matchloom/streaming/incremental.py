@@ -13,14 +13,19 @@ from matchloom.operators.sparse import SparseIndex
 def match_stream(queries: DataFrame, index: SparseIndex, out: str, checkpoint: str, k: int = 5,
                  answered: str | None = None) -> StreamingQuery:
     """``queries``: a stream of query_id, text. Each micro-batch writes its own folder, so a replay after a
-    failure replaces that folder and nothing is ranked twice. Work per batch grows with the batch only.
+    failure replaces that folder and nothing is ranked twice. A batch reads the index, not the catalog, and leaves
+    nothing persisted behind.
     """
+    index.copies_of(k)
+
     def each(batch: DataFrame, number: int) -> None:
         fresh = batch
         if answered is not None:
             fresh = pending(batch, batch.sparkSession.read.parquet(answered))
+        mark = len(index.kept)
         ranked = index.search(fresh.select("query_id", normalise(F.col("text")).alias("norm")), k, pad=True)
         ranked.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        index.release(mark)
 
     return (queries.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

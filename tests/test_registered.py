@@ -1,5 +1,7 @@
 """Registered queries against DuckDB on the smallest tables."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -8,10 +10,8 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-CHOSEN = ["flagship_metrics", "normalize_text_articles", "build_document", "pattern_shares", "duplicate_groups",
-          "length_stats", "variant_groups", "low_coverage", "bm25_top5", "topk_padded", "dense_top5", "predictions_wide",
-          "segment_scores", "error_overlap", "parse_answers", "reranked_top5", "batch_requests", "oov_terms",
-          "nomatch_rates", "abstention"]
+#: What the training-data subpackage registers has its own tests and may be left out of an install.
+NAMES = [n for n in entry.queries() if n != "pipeline" and not re.match(r"op\d+_", n)]
 
 
 def rows(names, values):
@@ -28,10 +28,10 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", CHOSEN)
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     cur = duck.execute(entry.oracle_sql()[name])

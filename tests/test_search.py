@@ -93,3 +93,40 @@ def test_salted_join_equals_plain_join(spark):
     got = salted_join(left, right, "k", "row", hot)
     assert sorted(map(tuple, got.select("row", "k", "v").collect())) == sorted(
         map(tuple, left.join(right, "k").select("row", "k", "v").collect()))
+
+
+@pytest.mark.parametrize("pad", [True, False])
+@pytest.mark.parametrize("plan", ["direct", "pruned"])
+def test_negative_floor_keeps_all_rows(spark, plan, pad):
+    docs = {i: "p q" for i in range(20)} | {i: "z" for i in range(20, 30)}
+    queries = {1: "p", 2: "z", 3: "p z", 4: "other"}
+    d, q = frames(spark, docs, queries)
+    index = SparseIndex.fit(d, "word", "bm25")
+    assert index.negative
+    got = {}
+    for r in index.search(q, 5, pad=pad, plan=plan).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.doc_id, r.score))
+    table = scores(docs, queries, "word", "bm25")
+    if not pad:
+        table = {n: {i: s for i, s in row.items() if set(queries[n].split()) & set(docs[i].split())} for n, row in table.items() if n != 4}
+    want = top(table, 5)
+    assert {n: [i for i, _ in rows] for n, rows in got.items()} == {n: [i for i, _ in rows] for n, rows in want.items()}
+    if pad:
+        assert got[1] == [(i, 0.0) for i in range(20, 25)]
+    index.release()
+
+
+def test_search_state_does_not_grow(spark):
+    docs, queries = fixture()
+    d, q = frames(spark, docs, queries)
+    index = SparseIndex.fit(d, "word", "bm25")
+    index.copies_of(5)
+    held = len(index.kept)
+    for _ in range(3):
+        mark = len(index.kept)
+        ranked = index.search(q, 5, pad=True)
+        plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+        ranked.collect()
+        index.release(mark)
+    assert len(index.kept) == held and len(index.copies) == 1 and plan.count("InMemoryRelation") >= 2
+    index.release()

@@ -119,7 +119,7 @@ def test_dense_blocks_equal_brute_force(spark):
     q = spark.createDataFrame(rows[:30], "query_id long, vector array<double>")
     d = spark.createDataFrame(rows, "doc_id long, vector array<double>")
     got = {}
-    for r in dense.dense_top_k(q, d, 4, block_rows=16).orderBy("query_id", "rank").collect():
+    for r in dense.dense_top_k(q, d, 4, block_bytes=1000).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.doc_id)
     s = np.round(m[:30] @ m.T, 9)
     assert got == {i: sorted(range(70), key=lambda j: (-s[i, j], j))[:4] for i in range(30)}
@@ -133,3 +133,45 @@ def test_abstention(spark):
     rows = {r.grp: r for r in nomatch.abstention_summary(nomatch.abstentions(answers, cands, gold)).collect()}
     assert (rows["control"].n, rows["control"].abstained, rows["control"].hits) == (2, 1, 1)
     assert (rows["no match"].abstained, rows["no match"].hits) == (0, 0)
+
+
+def test_last_answer_counts_in_a_batch_and_in_a_run(spark, tmp_path):
+    from matchloom.operators import rerank as RR
+    from matchloom.sources import ledger
+    text = 'so: {"resultados": [{"pedido": 3, "ranking": [3, 1]}, {"pedido": 4, "ranking": [1]}, {"pedido": 3, "ranking": [2]}]}'
+    parsed = RR.parse_batch_answers(spark.createDataFrame([(0, text)], "batch long, answer string"))
+    assert {(r.query_id, tuple(r.ranking)) for r in parsed.collect()} == {(3, (2,)), (4, (1,))}
+    candidates = spark.createDataFrame([(3, n, 100 * n) for n in range(1, 11)], "query_id long, cand_no int, doc_id long")
+    done = RR.with_fallback(spark.createDataFrame([(3,)], "query_id long"), parsed)
+    assert [r.doc_id for r in RR.rerank(done, candidates).orderBy("rank").collect()] == [200, 100, 300, 400, 500]
+
+    answers = spark.createDataFrame([(1, [1], 0), (1, [2], 1), (2, [3], 0)], "query_id long, ranking array<int>, seq long")
+    ledger.append_answers(answers.repartition(3), str(tmp_path / "l"), 0)
+    ledger.append_answers(answers.filter("query_id = 2").withColumn("ranking", answers.ranking), str(tmp_path / "l"), 1)
+    assert {(r.query_id, r.ranking[0]) for r in ledger.answered(spark, str(tmp_path / "l")).collect()} == {(1, 2), (2, 3)}
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "run=0").mkdir()
+    (tmp_path / "b" / "run=0" / "x.json").write_text('{"lote": 0, "rankings": {"1": [1], "2": [2]}}\n{"lote": 0, "rankings": {"1": [9]}}\n')
+    assert {(r.query_id, r.ranking[0]) for r in ledger.read_batch_ledger(spark, str(tmp_path / "b")).collect()} == {(1, 9), (2, 2)}
+
+
+def test_stream_in_several_batches_and_replay(spark, tmp_path):
+    from matchloom.operators.sparse import SparseIndex
+    from matchloom.streaming.incremental import match_stream
+    docs = spark.createDataFrame([(i, f"thing {i} blue") for i in range(20)], "doc_id long, norm string")
+    index = SparseIndex.fit(docs, "word", "bm25")
+    for i in range(3):
+        spark.createDataFrame([(i, f"thing {i}"), (10 + i, "blue 7")], "query_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = lambda: (spark.readStream.schema("query_id long, text string").option("maxFilesPerTrigger", 1)
+                      .parquet(str(tmp_path / "in")))
+    index.copies_of(5)
+    held = len(index.kept)
+    match_stream(stream(), index, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    first = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
+    assert len({r[-1] for r in first}) == 3 and len(first) == 6 * 5 and len(index.kept) == held
+    last = max((tmp_path / "state" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    last.unlink()                                          # as if the run had died before the last commit
+    last.with_name(f".{last.name}.crc").unlink()
+    match_stream(stream(), index, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == first
+    index.release()
