@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -59,6 +61,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def worker_cache() -> dict:
+    """Objects that a Python worker keeps between its tasks (Spark reuses workers); never needed for right results."""
+    return sys.modules.setdefault("_matchloom_worker_cache", types.ModuleType("_matchloom_worker_cache")).__dict__
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table of this run's own that nothing reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +24,30 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from matchloom.llm.binfiles import read_files, write_files
-from matchloom.llm.common import scratch, table
+from matchloom.llm.common import scratch, table, worker_cache
 from matchloom.llm.mphash import MinimalPerfectHash, key_hashes
 
 MAGIC, END_MARK = b"MLTOKEN1", "\nMLEND1\n"
 HEADER = "<8sIIQQQQ"                         # magic, bytes per id, documents, ids, starts of index, of keys, of the end
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 HEADER_BYTES = struct.calcsize(HEADER)
 END_ID = 1
-MEMO_PIECES, MEMO_BYTES = 500_000, 64
+MEMO, LONG_WORD = 1_000_000, 64
+BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+BATCH_BYTES = 1 << 19      # texts encoded together
+
+
+def _kinds() -> np.ndarray:
+    """Of bytes: 0 white space, 1 tail punctuation, 2 others, 3 lower-case and 4 upper-case ASCII letters."""
+    kinds = np.full(256, 2, np.uint8)
+    kinds[[9, 10, 11, 12, 13, 32]] = 0
+    kinds[list(b".,!?;:")] = 1
+    kinds[ord("a"):ord("z") + 1] = 3
+    kinds[ord("A"):ord("Z") + 1] = 4
+    return kinds
+
+
+KINDS = _kinds()
 
 
 def vocabulary_file() -> str:
@@ -41,28 +57,153 @@ def vocabulary_file() -> str:
 
 
 class Encoder:
-    """Ids of whole texts. The vocabulary drops white space before merging, so the pieces between ASCII white space
-    encode alone, and equal pieces are encoded once (a bounded memo)."""
+    """Ids of whole texts, batch by batch, with a bounded memo of words.
+
+    The vocabulary drops white space before it merges, so the pieces between ASCII white space encode alone. Punctuation
+    after an ASCII letter is merged apart from it, and case is dropped: a piece is a lower-case word and a tail. Equal
+    words of a batch are found by two 64-bit hashes and encoded once; the memo holds sorted hashes and packed ids.
+    """
 
     def __init__(self, vocabulary: str):
         self.model = Tokenizer.from_file(vocabulary)
-        self.width = 2 if max(self.model.get_vocab_size(), END_ID + 1) <= 1 << 16 else 4
-        self.memo: dict[bytes, bytes] = {}
-
-    def encode(self, raw: bytes) -> bytes:
-        pieces = raw.split()
-        try:
-            return b"".join(map(self.memo.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        new = list({p for p in pieces if p not in self.memo})
-        found = self.model.encode_batch([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-        ids = {p: np.array(e.ids, f"<u{self.width}").tobytes() for p, e in zip(new, found)}
-        out = b"".join([self.memo.get(p) or ids.get(p, b"") for p in pieces])
-        self.memo.update((p, b) for p, b in ids.items() if len(p) <= MEMO_BYTES)
-        return out
+        self.merges = self.model.model
+        self.width = 2 if max(max(self.model.get_vocab().values()), END_ID) < 1 << 16 else 4
+        self.powers = []
+        for base in BASES:
+            inverse = pow(base, -1, 1 << 64)
+            self.powers.append((_powers(base), _powers(inverse)))
+        self.forget()
+
+    def forget(self) -> None:
+        #: Two tables, one for most words and one for the latest: hashes sorted by the first, place and number of ids.
+        self.tables = [self.no_words(), self.no_words()]
+        self.ids, self.used = np.empty(1 << 16, f"<u{self.width}"), 0
+
+    @staticmethod
+    def no_words() -> tuple[np.ndarray, ...]:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def known_words(self) -> int:
+        return sum(len(t[0]) for t in self.tables)
+
+    @classmethod
+    def of_worker(cls, vocabulary: str) -> "Encoder":
+        cache = worker_cache()
+        if vocabulary not in cache:
+            cache[vocabulary] = cls(vocabulary)
+        return cache[vocabulary]
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, f"<u{self.width}").tobytes()
+
+    def whole(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+
+    def learn(self, words: list[bytes], first: np.ndarray, second: np.ndarray) -> None:
+        """Words of ASCII letters need no normaliser or splitter, only the merges over their bytes."""
+        plain = [w.isalpha() and len(w) <= LONG_WORD for w in words]                   # of bytes: ASCII letters only
+        others = iter(self.whole([w for w, p in zip(words, plain) if not p]))
+        lists = [[t.id for t in self.merges.tokenize(w.decode())] if p else next(others) for w, p in zip(words, plain)]
+        size = np.array([len(x) for x in lists])
+        at, total = self.used + np.cumsum(size) - size, int(size.sum())
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), self.ids.dtype, total)
+        self.used += total
+        main, latest = self.tables
+        latest = self.joined(latest, (first, second, at, size))
+        self.tables = [main, latest] if 4 * len(latest[0]) < len(main[0]) + (1 << 16) else [self.joined(main, latest), self.no_words()]
+
+    @staticmethod
+    def joined(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        both = [np.concatenate(x) for x in zip(a, b)]
+        order = np.argsort(both[0], kind="stable")
+        return tuple(x[order] for x in both)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number) of the ids of sorted hashes; number -1 for an unknown word."""
+        at, size = np.zeros(len(first), np.int64), np.full(len(first), -1, np.int64)
+        for table_ in self.tables:
+            if len(table_[0]):
+                row = np.minimum(np.searchsorted(table_[0], first), len(table_[0]) - 1)
+                known = (table_[0][row] == first) & (table_[1][row] == second)
+                at[known], size[known] = table_[2][row[known]], table_[3][row[known]]
+        return at, size
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Packed ids of each text. Texts with the start of a special token, which depends on case, go to the model whole."""
+        odd = [b"<|" in t for t in texts]
+        out = self._encode([b"" if o else t for t, o in zip(texts, odd)])
+        if out is None:                                    # two words of one batch share a hash
+            return [self.packed(x) for x in self.whole(texts)]
+        special = iter(self.whole([t for t, o in zip(texts, odd) if o]))
+        return [self.packed(next(special)) if o else x for x, o in zip(out, odd)]
+
+    def _encode(self, texts: list[bytes]) -> list[bytes] | None:
+        raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        if len(raw) > len(self.powers[0][0]):
+            self.powers = [(_powers(b, len(raw)), _powers(pow(b, -1, 1 << 64), len(raw))) for b in BASES]
+        kind = KINDS[raw]
+        shown = kind != 0
+        edge = np.flatnonzero(np.diff(shown, prepend=False))
+        start, end = edge[::2], edge[1::2]                 # the last byte is white space
+        text_at = np.cumsum([0] + [len(t) + 1 for t in texts])
+        if not len(start):
+            return [b""] * len(texts)
+        body = np.maximum.accumulate(np.where(kind != 1, np.arange(len(raw)), 0))[end - 1] + 1
+        tailed = (body < end) & (body > start) & (kind[np.maximum(body - 1, 0)] >= 3)
+        middle = np.where(tailed, body, end)
+        high = np.concatenate([[0], np.cumsum(raw > 127, dtype=np.int32)])
+        keep = high[end] != high[start]                    # case may matter to marks that combine: such pieces stay as they are
+        low = raw.copy()
+        low[kind == 4] |= 32
+        if keep.any():
+            size = (end - start)[keep]
+            where = np.repeat(start[keep] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            low[where] = raw[where]
+        parts = 1 + tailed
+        place = np.cumsum(parts) - parts
+        a, b = np.empty(int(parts.sum()), np.int64), np.empty(int(parts.sum()), np.int64)
+        a[place], b[place] = start, middle
+        a[place[tailed] + 1], b[place[tailed] + 1] = middle[tailed], end[tailed]
+        first, second = (self._hashes(low, a, b, *p) for p in self.powers)
+        order = np.argsort(first)
+        ranked = first[order]
+        fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        own, where, back = ranked[fresh], order[fresh], np.empty(len(order), np.int64)
+        back[order] = np.cumsum(fresh) - 1
+        if (second[where][back] != second).any():
+            return None
+        if self.known_words() > MEMO:
+            self.forget()
+        at, size = self.find(own, second[where])
+        new = np.flatnonzero(size < 0)
+        if len(new):
+            view = low.tobytes()
+            self.learn([view[x:y] for x, y in zip(a[where[new]].tolist(), b[where[new]].tolist())], own[new], second[where[new]])
+            at, size = self.find(own, second[where])
+            if (size < 0).any():
+                return None
+        at, size = at[back], size[back]
+        until = np.cumsum(size)
+        ids = self.ids[np.repeat(at - until + size, size) + np.arange(until[-1])]
+        cuts = np.concatenate([[0], until])[np.searchsorted(a, text_at)]
+        raw_ids, w = ids.tobytes(), self.width
+        return [raw_ids[x * w:y * w] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+    @staticmethod
+    def _hashes(data: np.ndarray, a: np.ndarray, b: np.ndarray, powers: np.ndarray, inverses: np.ndarray) -> np.ndarray:
+        """Polynomial hash of each data[a:b], from one running sum."""
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:len(data)])])
+        x = (total[b] - total[a]) * inverses[a] + (b - a).astype(np.uint64)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        return x ^ (x >> np.uint64(29))
+
+
+def _powers(base: int, n: int = 1 << 20) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
 
 
 def entry_key(key: str | None, nth: int) -> bytes:
@@ -122,11 +263,22 @@ class Shard:
         return np.frombuffer(self.read(HEADER_BYTES + first * self.width, count * self.width), f"<u{self.width}")
 
 
+def encoded(encoder: Encoder, texts: Iterable[bytes]) -> Iterator[bytes]:
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if size >= BATCH_BYTES:
+            yield from encoder.encode(some)
+            some, size = [], 0
+    yield from encoder.encode(some)
+
+
 def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, text: str = "text", key: str = "doc_id",
                  shard_bytes: int = SHARD_BYTES) -> None:
     """Write all documents in ascending key order; folders name each shard's place, documents, ids and first key."""
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seq, size, keys, payloads = Encoder(vocabulary or vocabulary_file()), 0, 0, [], []
+        encoder, seq, size, keys, payloads = Encoder.of_worker(vocabulary or vocabulary_file()), 0, 0, [], []
         end = np.array([END_ID], f"<u{encoder.width}").tobytes()
         part = TaskContext.get().partitionId()
         last, nth = object(), 0
@@ -138,11 +290,12 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, text
                                                "first": [entry_key(first, at).hex()], "content": [pack_shard(encoder.width, keys, payloads)]})
 
         for batch in batches:
-            for name, raw in zip(batch.column("key").to_pylist(), batch.column("body").to_pylist()):
+            bodies = (x.as_py() for x in batch.column("body"))
+            for name, ids in zip(batch.column("key").to_pylist(), encoded(encoder, bodies)):
                 nth = nth + 1 if name == last else 0
                 last = name
                 keys.append((name, nth))
-                payloads.append(encoder.encode(raw) + end)
+                payloads.append(ids + end)
                 size += len(payloads[-1])
                 if size >= shard_bytes:
                     yield shard()
