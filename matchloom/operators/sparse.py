@@ -118,8 +118,8 @@ class SparseIndex:
             return counts.join(F.broadcast(vocabulary), "term")
         return salted_join(counts, vocabulary, "term", "text_id", self._hot_terms())
 
-    def _hot_terms(self) -> DataFrame:
-        return hot_keys(self.vocabulary, "term", "text_df", self.postings)
+    def _hot_terms(self, other: DataFrame | None = None) -> DataFrame:
+        return hot_keys(self.vocabulary, "term", "text_df", self.postings, other=other)
 
     def _contribution(self) -> Column:
         """Weight of one posting before division by the text's vector length (BM25 needs none)."""
@@ -200,8 +200,9 @@ class SparseIndex:
         """Scores of all pairs that share a term, whatever their sign."""
         if small:
             return self._direct(vectors)
-        pairs = salted_join(self.counts.join(vectors.select("term", "idf").distinct(), "term"),
-                            vectors.select("qid", "term", "wq"), "term", "text_id", self._hot_terms())
+        asked = vectors.select("qid", "term", "wq")
+        pairs = salted_join(self.counts.join(vectors.select("term", "idf").distinct(), "term"), asked, "term", "text_id",
+                            self._hot_terms(asked), "qid")
         return pairs.groupBy("qid", "text_id").agg(F.sum(F.col("wq") * self._contribution()).alias("score"))
 
     def _unscored(self, asked: DataFrame, best: DataFrame, scored: DataFrame, k: int) -> DataFrame:
@@ -237,7 +238,6 @@ class SparseIndex:
         terms = vectors.select("term", "idf").distinct()
         postings = self._keep(self._scaled(lookup(self.counts, terms, "term"))
                               .select("text_id", "term", F.col("weight").alias("wd")))
-        hot = self._hot_terms()
 
         rare_first = Window.partitionBy("qid").orderBy("text_df", "term").rowsBetween(
             Window.unboundedPreceding, 0)
@@ -267,7 +267,8 @@ class SparseIndex:
         weighed = self._keep(weighed.withColumn("rest", F.coalesce(rest_reach, F.lit(0.0)))
                              .select("qid", "term", "wq", "floor", "rest", "needed"))
 
-        pairs = salted_join(postings, weighed.filter("needed").drop("needed"), "term", "text_id", hot)
+        needed = weighed.filter("needed").drop("needed")
+        pairs = salted_join(postings, needed, "term", "text_id", self._hot_terms(needed), "qid")
         part = pairs.groupBy("qid", "text_id", "floor", "rest").agg(
             F.sum(F.col("wq") * F.col("wd")).alias("score"), F.sum(F.col("wd") * F.col("wd")).alias("mass"))
         left_over = F.sqrt(F.greatest(1 - F.col("mass"), F.lit(0.0))) if cosine else F.lit(1.0)

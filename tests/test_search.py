@@ -130,3 +130,15 @@ def test_search_state_does_not_grow(spark):
         index.release(mark)
     assert len(index.kept) == held and len(index.copies) == 1 and plan.count("InMemoryRelation") >= 2
     index.release()
+
+
+def test_salted_join_splits_both_sides(spark):
+    from matchloom.operators.joins import fits_broadcast, hot_keys, salted_join
+    left = spark.range(2000).select(F.col("id").alias("row"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 40).alias("k"))
+    right = spark.range(600).select(F.col("id").alias("q"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"))
+    hot = hot_keys(left.groupBy("k").count(), "k", "count", 2000, floor=100, other=right)
+    assert {(r.k, r.salts, r.across) for r in hot.collect()} == {(0, 10, 3)}
+    got = salted_join(left, right, "k", "row", hot, "q")
+    assert sorted(map(tuple, got.select("row", "k", "q").collect())) == sorted(map(tuple, left.join(right, "k").select("row", "k", "q").collect()))
+    wide = spark.range(200).select(F.array_repeat(F.lit("x" * 1000), 1000).alias("a"))
+    assert fits_broadcast(spark.range(10)) and not fits_broadcast(wide)
