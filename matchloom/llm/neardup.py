@@ -28,14 +28,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from matchloom.llm.common import fold_ascii, fresh, let, split_words, stored, table
+from matchloom.llm.common import fold_ascii, fresh, give_back, let, split_words, stored, table
 from matchloom.llm.components import components
 
 MINIMA, ROWS, BATCH = 128, 4, 32
 PERCENT = 80
 MISS = 1e-6                # accepted chance, per batch, to drop a pair that reaches the threshold
 CELL_NODES = 1024          # signatures on one side of a cell
-CELL_BYTES = 16 << 20      # signatures and sets of a block
+CELL_BYTES = 8 << 20       # signatures and sets of a block
 PIVOTS = 8
 SEED = 8
 
@@ -50,15 +50,15 @@ def shingle_set(words: Column, span: int) -> Column:
     return let(words, runs)
 
 
-def hash_functions() -> tuple[np.ndarray, np.ndarray]:
+def hash_functions(minima: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    return rng.integers(0, 1 << 32, (2, MINIMA), dtype=np.uint32) | np.uint32(1)
+    return rng.integers(0, 1 << 32, (2, minima), dtype=np.uint32) | np.uint32(1)
 
 
-def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def signatures(values: np.ndarray, starts: np.ndarray, minima: int = MINIMA) -> np.ndarray:
     """Minima of each run of ``values`` (64-bit hashes) from ``starts`` on; no run may be empty."""
-    a, b = hash_functions()
-    out = np.empty((len(starts), MINIMA), np.uint32)
+    a, b = hash_functions(minima)
+    out = np.empty((len(starts), minima), np.uint32)
     ends = np.append(starts[1:], len(values))
     first = 0
     while first < len(starts):                             # pieces that fit the processor's cache
@@ -66,7 +66,7 @@ def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
         piece = values[starts[first]:ends[last - 1]]
         high, low = (piece >> np.uint64(32)).astype(np.uint32), piece.astype(np.uint32)
         at = starts[first:last] - starts[first]
-        for k in range(MINIMA):
+        for k in range(minima):
             out[first:last, k] = np.minimum.reduceat(high * a[k] + low * b[k], at)
         first = last
     return out
@@ -85,13 +85,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc"), batch.column("node"), pa.array(sizes), pa.array(found, pa.binary())],
             ["doc", "node", "n_shingles", "minima"])
+    give_back()
 
 
-def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]:
+def least_matches(threshold: float, miss: float = MISS, minima: int = MINIMA) -> list[tuple[int, int]]:
     """(minima compared, matches needed to go on). With a uniform prior, m matches in n give similarity a
     Beta(m + 1, n - m + 1) posterior; its part above t is the chance of at most m successes in n + 1 draws of t."""
     out = []
-    for n in range(BATCH, MINIMA + 1, BATCH):
+    for n in [*range(BATCH, minima, BATCH), minima]:
         below, need = 0.0, 0
         while True:
             below += comb(n + 1, need) * threshold ** need * (1 - threshold) ** (n + 1 - need)
@@ -112,14 +113,15 @@ def surviving(left: np.ndarray, right: np.ndarray, limits: list[tuple[int, int]]
     return alive
 
 
-def _minima(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint32).reshape(-1, MINIMA)
+def _minima(column: list[bytes], code: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), code).reshape(len(column), -1)
 
 
-def _likely(limits: list[tuple[int, int]]):
+def _likely(limits: list[tuple[int, int]], code: str):
     def likely(left: pd.Series, right: pd.Series) -> pd.Series:
         out = np.zeros(len(left), bool)
-        out[surviving(_minima(left), _minima(right), limits)] = True
+        if len(left):
+            out[surviving(_minima(left.tolist(), code), _minima(right.tolist(), code), limits)] = True
         return pd.Series(out)
 
     return F.pandas_udf(likely, "boolean")
@@ -128,10 +130,10 @@ def _likely(limits: list[tuple[int, int]]):
 class Cell:
     """Nodes of one task's unit of work, with their group so far; ``left`` nodes are held against all ``right`` ones."""
 
-    def __init__(self, rows: list[tuple]):
+    def __init__(self, rows: list[dict], code: str):
         self.nodes = [r["node"] for r in rows]
         self.right = np.array([r["right"] for r in rows])
-        self.minima = np.frombuffer(b"".join(r["minima"] for r in rows), np.uint32).reshape(-1, MINIMA)
+        self.minima = _minima([r["minima"] for r in rows], code)
         self.group = np.unique([r["root"] for r in rows], return_inverse=True)[1]
         self.sets = [r["shingles"] for r in rows] if "shingles" in rows[0] else None
 
@@ -147,7 +149,7 @@ class Cell:
             others = rights[self.group[rights] != self.group[x]]
             if not len(others):
                 continue
-            others = others[surviving(np.broadcast_to(self.minima[x], (len(others), MINIMA)), self.minima[others], limits)]
+            others = others[surviving(np.broadcast_to(self.minima[x], (len(others), self.minima.shape[1])), self.minima[others], limits)]
             if self.sets is not None and len(others):
                 own = tokens[starts[x]:starts[x] + sizes[x]]
                 mark[own] = 1
@@ -163,7 +165,7 @@ class Cell:
                     yield self.nodes[x], self.nodes[y]
 
 
-def _cell_links(keys: list[str], limits: list[tuple[int, int]], percent: int):
+def _cell_links(keys: list[str], limits: list[tuple[int, int]], percent: int, code: str):
     """Links found in each cell; a partition holds whole cells, sorted by ``keys``."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -179,9 +181,10 @@ def _cell_links(keys: list[str], limits: list[tuple[int, int]], percent: int):
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, cell in groupby(rows(batches), key=lambda r: [r[k] for k in keys]):
-            found = list(Cell(list(cell)).links(limits, percent))
+            found = list(Cell(list(cell), code).links(limits, percent))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*found)], ["a", "b"])
+        give_back()
 
     return links
 
@@ -189,11 +192,12 @@ def _cell_links(keys: list[str], limits: list[tuple[int, int]], percent: int):
 class NearDuplicates:
     """Links between nodes (distinct texts) whose sets overlap by at least ``percent`` of their union."""
 
-    band_rows = ROWS
+    band_rows, minima, code = ROWS, MINIMA, "<u4"         # minima to a band, minima in all, and how one is stored
 
     def __init__(self, docs: DataFrame, span: int = 5, percent: int = PERCENT, text: str = "text", key: str = "doc_id"):
         self.spark, self.span, self.percent = docs.sparkSession, span, percent
-        self.limits = least_matches(percent / 100)
+        self.limits = least_matches(percent / 100, minima=self.minima)
+        self.minima_bytes = self.minima * np.dtype(self.code).itemsize
         body = F.coalesce(F.col(text), F.lit(""))
         self.texts = docs.select(F.col(key).alias("doc"), F.unhex(F.md5(body)).alias("node"), body.alias("body"))
         self.key_type = docs.schema[key].dataType.simpleString()
@@ -213,8 +217,8 @@ class NearDuplicates:
 
     def buckets(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         """((bucket, node) of every band, (bucket, low, members) of buckets with several nodes)."""
-        width = 4 * self.band_rows
-        members = nodes.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(MINIMA // self.band_rows - 1)), lambda band: F.xxhash64(
+        width = np.dtype(self.code).itemsize * self.band_rows
+        members = nodes.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(self.minima // self.band_rows - 1)), lambda band: F.xxhash64(
             band, F.substring("minima", band * width + 1, F.lit(width))))).alias("bucket"), "node")
         shared = (members.groupBy("bucket").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("members"))
                   .filter("members > 1"))
@@ -224,7 +228,7 @@ class NearDuplicates:
         """Links (a, b) found in the cells named by ``keys``."""
         sets = ["shingles"] if "shingles" in rows.columns else []
         return (rows.select(*keys, "right", "node", "root", "minima", *sets).repartition(*keys).sortWithinPartitions(*keys)
-                .mapInArrow(_cell_links(keys, self.limits, self.percent), "a binary, b binary"))
+                .mapInArrow(_cell_links(keys, self.limits, self.percent, self.code), "a binary, b binary"))
 
     def clouds(self, nodes: DataFrame) -> DataFrame:
         """(node, root): groups such that every likely pair of a bucket lies inside one."""
@@ -233,7 +237,7 @@ class NearDuplicates:
         stars = members.filter("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
         left = nodes.select(F.col("node").alias("a"), F.col("minima").alias("left"))
         right = nodes.select(F.col("node").alias("b"), F.col("minima").alias("right"))
-        likely = stored(stars.join(right, "b").join(left, "a").filter(_likely(self.limits)("left", "right")).select("a", "b"), "likely")
+        likely = stored(stars.join(right, "b").join(left, "a").filter(_likely(self.limits, self.code)("left", "right")).select("a", "b"), "likely")
         roots = components(likely)
         more = stored(self.crossing(members, roots, nodes), "crossing")
         return roots if more.isEmpty() else components(more, roots)
@@ -261,9 +265,9 @@ class NearDuplicates:
     def roots(self, nodes: DataFrame) -> DataFrame:
         """(node, root) of all nodes that the threshold connects with others, by verified links."""
         clouds = self.clouds(nodes).withColumnRenamed("root", "cloud")
-        inside = nodes.join(clouds, "node").withColumn("bytes", F.col("n_shingles") * 8 + 4 * MINIMA)
+        inside = nodes.join(clouds, "node")
         sizes = clouds.join(nodes.select("node", "n_shingles"), "node").groupBy("cloud").agg(
-            F.ceil(F.sum(F.col("n_shingles") * 8 + 4 * MINIMA) / CELL_BYTES).cast("int").alias("blocks"))
+            F.ceil(F.sum(F.col("n_shingles") * 8 + self.minima_bytes) / CELL_BYTES).cast("int").alias("blocks"))
         placed = inside.join(sizes, "cloud").select("node", "doc", "minima", "cloud", "blocks")
         texts = self.texts.select(F.col("node").alias("of"), F.col("doc").alias("of_doc"), "body")
         sets = (placed.join(texts, (F.col("node") == F.col("of")) & F.col("doc").eqNullSafe(F.col("of_doc")))

@@ -17,7 +17,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from matchloom.llm.common import fresh, table
+from matchloom.llm.common import fresh, give_back, table
 
 LEVEL = 3
 CHUNK_BYTES = 4096
@@ -73,6 +73,7 @@ def _judged(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     names = [field.split()[0] for field in SCHEMA.split(", ")]
     for batch in texts:
         yield pd.DataFrame([judge(raw, pack) for raw in batch], columns=names)
+    give_back()
 
 
 def verdict(text: Column) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from matchloom.llm.binfiles import read_files, write_files
-from matchloom.llm.common import scratch, table, worker_cache
+from matchloom.llm.common import give_back, scratch, table, worker_cache
 from matchloom.llm.mphash import MinimalPerfectHash, key_hashes
 
 MAGIC, END_MARK = b"MLTOKEN1", "\nMLEND1\n"
@@ -32,7 +32,7 @@ HEADER = "<8sIIQQQQ"                         # magic, bytes per id, documents, i
 SHARD_BYTES = 8 << 20
 HEADER_BYTES = struct.calcsize(HEADER)
 END_ID = 1
-MEMO, LONG_WORD = 1_000_000, 64
+MEMO, LONG_WORD = 700_000, 64
 BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 BATCH_BYTES = 1 << 19      # texts encoded together
 
@@ -200,7 +200,7 @@ class Encoder:
         return x ^ (x >> np.uint64(29))
 
 
-def _powers(base: int, n: int = 1 << 20) -> np.ndarray:
+def _powers(base: int, n: int = 5 << 17) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.cumprod(out)
@@ -302,6 +302,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, text
                     seq, size, keys, payloads = seq + 1, 0, [], []
         if keys:
             yield shard()
+        give_back()
 
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     ordered = docs.select(F.col(key).alias("order"), body.alias("body")).repartitionByRange("order", F.xxhash64("body"))
