@@ -82,6 +82,11 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps now; it acts when the driver has collected them."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` (narrow fixed-width rows) has at most ``rows`` rows; looks at no more than that plus one."""
     return df.limit(rows + 1).count() <= rows

@@ -20,6 +20,7 @@ component. The smallest key of a component names it; a null key is never the sma
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import groupby
 from math import comb
 
@@ -28,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from matchloom.llm.common import fold_ascii, fresh, give_back, let, split_words, stored, table
+from matchloom.llm.common import fold_ascii, fresh, give_back, let, release_shuffles, split_words, stored, table
 from matchloom.llm.components import components
 
 MINIMA, ROWS, BATCH = 128, 4, 32
@@ -165,25 +166,29 @@ class Cell:
                     yield self.nodes[x], self.nodes[y]
 
 
-def _cell_links(keys: list[str], limits: list[tuple[int, int]], percent: int, code: str):
+def _whole_sets(column: pa.Array) -> Iterator[np.ndarray]:
+    offsets, values = np.asarray(column.offsets), np.asarray(column.values)
+    for first, last in zip(offsets, offsets[1:]):
+        yield values[first:last].copy()
+
+
+def _cell_links(keys: list[str], limits: list[tuple[int, int]], percent: int, code: str, sets_of):
     """Links found in each cell; a partition holds whole cells, sorted by ``keys``."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             names = [n for n in batch.schema.names if n != "shingles"]
-            sets = batch.column("shingles") if "shingles" in batch.schema.names else None
-            if sets is not None:
-                offsets, values = np.asarray(sets.offsets), np.asarray(sets.values)
-            for i, row in enumerate(zip(*(batch.column(n).to_pylist() for n in names))):
+            sets = sets_of(batch.column("shingles")) if "shingles" in batch.schema.names else None
+            for row in zip(*(batch.column(n).to_pylist() for n in names)):
                 row = dict(zip(names, row))
                 if sets is not None:
-                    row["shingles"] = values[offsets[i]:offsets[i + 1]].copy()
+                    row["shingles"] = next(sets)
                 yield row
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, cell in groupby(rows(batches), key=lambda r: [r[k] for k in keys]):
             found = list(Cell(list(cell), code).links(limits, percent))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*found)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(side) for side in zip(*found)], ["a", "b"])
         give_back()
 
     return links
@@ -193,6 +198,8 @@ class NearDuplicates:
     """Links between nodes (distinct texts) whose sets overlap by at least ``percent`` of their union."""
 
     band_rows, minima, code = ROWS, MINIMA, "<u4"         # minima to a band, minima in all, and how one is stored
+    node_type, sets_of = "binary", staticmethod(_whole_sets)   # what names a node, and how the column of shingles() is read
+    slices = 1                                             # parts in which the bands are shuffled
 
     def __init__(self, docs: DataFrame, span: int = 5, percent: int = PERCENT, text: str = "text", key: str = "doc_id"):
         self.spark, self.span, self.percent = docs.sparkSession, span, percent
@@ -215,30 +222,38 @@ class NearDuplicates:
                  .agg(F.min("doc").alias("doc"), F.first("minima").alias("minima"), F.first("n_shingles").alias("n_shingles")))
         return rows, stored(nodes, "nodes")
 
-    def buckets(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """((bucket, node) of every band, (bucket, low, members) of buckets with several nodes)."""
+    def members(self, nodes: DataFrame) -> DataFrame:
+        """(bucket, node, low, members) of all buckets with several nodes."""
         width = np.dtype(self.code).itemsize * self.band_rows
-        members = nodes.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(self.minima // self.band_rows - 1)), lambda band: F.xxhash64(
-            band, F.substring("minima", band * width + 1, F.lit(width))))).alias("bucket"), "node")
-        shared = (members.groupBy("bucket").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("members"))
-                  .filter("members > 1"))
-        return members, stored(shared, "buckets")
+        bands, parts = self.minima // self.band_rows, []
+        for first in range(0, bands, bands // self.slices):
+            numbers = F.sequence(F.lit(first), F.lit(min(first + bands // self.slices, bands) - 1))
+            members = nodes.select(F.explode(F.transform(numbers, lambda band: F.xxhash64(
+                band, F.substring("minima", band * width + 1, F.lit(width))))).alias("bucket"), "node")
+            shared = (members.groupBy("bucket").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("members"))
+                      .filter("members > 1"))
+            parts.append(stored(members.join(stored(shared, "buckets"), "bucket"), "members"))
+            if self.slices > 1:
+                release_shuffles(self.spark)
+        return reduce(DataFrame.unionByName, parts)
+
+    def likely(self, stars: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose signatures survive."""
+        left = nodes.select(F.col("node").alias("a"), F.col("minima").alias("left"))
+        right = nodes.select(F.col("node").alias("b"), F.col("minima").alias("right"))
+        return stored(stars.join(right, "b").join(left, "a").filter(_likely(self.limits, self.code)("left", "right")).select("a", "b"), "likely")
 
     def in_cells(self, rows: DataFrame, keys: list[str]) -> DataFrame:
         """Links (a, b) found in the cells named by ``keys``."""
         sets = ["shingles"] if "shingles" in rows.columns else []
         return (rows.select(*keys, "right", "node", "root", "minima", *sets).repartition(*keys).sortWithinPartitions(*keys)
-                .mapInArrow(_cell_links(keys, self.limits, self.percent, self.code), "a binary, b binary"))
+                .mapInArrow(_cell_links(keys, self.limits, self.percent, self.code, self.sets_of), f"a {self.node_type}, b {self.node_type}"))
 
     def clouds(self, nodes: DataFrame) -> DataFrame:
         """(node, root): groups such that every likely pair of a bucket lies inside one."""
-        members, shared = self.buckets(nodes)
-        members = stored(members.join(shared, "bucket"), "members")
+        members = self.members(nodes)
         stars = members.filter("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-        left = nodes.select(F.col("node").alias("a"), F.col("minima").alias("left"))
-        right = nodes.select(F.col("node").alias("b"), F.col("minima").alias("right"))
-        likely = stored(stars.join(right, "b").join(left, "a").filter(_likely(self.limits, self.code)("left", "right")).select("a", "b"), "likely")
-        roots = components(likely)
+        roots = components(self.likely(stars, nodes))
         more = stored(self.crossing(members, roots, nodes), "crossing")
         return roots if more.isEmpty() else components(more, roots)
 
@@ -262,6 +277,11 @@ class NearDuplicates:
         rights = placed.select(unit, every("lines").alias("i"), block("columns").alias("j"), F.lit(True).alias("right"), "node", "root", *kept)
         return lefts.unionByName(rights)
 
+    def with_bodies(self, placed: DataFrame) -> DataFrame:
+        """Nodes with the text of their first document."""
+        texts = self.texts.select(F.col("node").alias("of"), F.col("doc").alias("of_doc"), "body")
+        return placed.join(texts, (F.col("node") == F.col("of")) & F.col("doc").eqNullSafe(F.col("of_doc")))
+
     def roots(self, nodes: DataFrame) -> DataFrame:
         """(node, root) of all nodes that the threshold connects with others, by verified links."""
         clouds = self.clouds(nodes).withColumnRenamed("root", "cloud")
@@ -269,8 +289,7 @@ class NearDuplicates:
         sizes = clouds.join(nodes.select("node", "n_shingles"), "node").groupBy("cloud").agg(
             F.ceil(F.sum(F.col("n_shingles") * 8 + self.minima_bytes) / CELL_BYTES).cast("int").alias("blocks"))
         placed = inside.join(sizes, "cloud").select("node", "doc", "minima", "cloud", "blocks")
-        texts = self.texts.select(F.col("node").alias("of"), F.col("doc").alias("of_doc"), "body")
-        sets = (placed.join(texts, (F.col("node") == F.col("of")) & F.col("doc").eqNullSafe(F.col("of_doc")))
+        sets = (self.with_bodies(placed)
                 .dropDuplicates(["node"]).select("node", "minima", "cloud", "blocks", self.shingles().alias("shingles")))
         sets = stored(sets, "sets")
         block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")

@@ -241,6 +241,15 @@ def test_line_dedup(docs, empty):
     assert lines.LineDuplicates(empty).cleaned().count() == 0
 
 
+def test_line_dedup_finds_every_link_at_the_threshold(spark):
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    bases = [letters(104) for _ in range(4000)]
+    rows = [(i, base + "\n" + base[:93] + letters(11)) for i, base in enumerate(bases)]     # 89 shingles in 111
+    out = lines.LineDuplicates(spark.createDataFrame(rows, "doc_id long, text string")).cleaned()
+    assert [r.key for r in out.filter("n_dropped <> 1").collect()] == []
+
+
 # ------------------------------------------------------------------ 7
 def test_decontamination(spark, docs, empty):
     base = corpus()[0][1].split()
