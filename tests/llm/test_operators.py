@@ -1,5 +1,6 @@
 """The ten operators and the pipeline on small cases, against brute force, SQL or a round trip."""
 
+import base64
 import hashlib
 import random
 import zlib
@@ -326,6 +327,21 @@ def test_quality_bands():
     assert [quality.judge(t, pack)[6] for t in (noise, loop, half, prose(2, 400).encode(), b"")] == [False, False, False, True, False]
 
 
+def encoded(seed, n):
+    blob = base64.b64encode(random.Random(seed).randbytes(n)).decode()
+    return "\n".join(blob[i:i + 76] for i in range(0, len(blob), 76)).encode()[:n]
+
+
+def test_quality_rejects_base64_and_keys():
+    pack = zstandard.ZstdCompressor(level=3)
+    rng = random.Random(1)
+    keys = " ".join("".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=12)) for _ in range(600)).encode()
+    half = prose(1, 8000).encode()[:50_000] + b"\n" + encoded(2, 50_000)
+    texts = [encoded(1, 5000), encoded(1, 8000), keys[:1000], keys[:1900], keys[:4096], keys, half]
+    assert [quality.judge(t, pack)[6] for t in texts] == [False] * len(texts)
+    assert quality.judge(half[:50_000], pack)[6]
+
+
 # ------------------------------------------------------------------ 10
 def test_mixing(spark, docs, empty):
     rows = [(i, prose(i, 5 + i % 60), ["x", "y", "z", None, "w"][min(i % 9, 4)]) for i in range(800)] + [(1000, None, "zero"), (1, prose(1, 6), "y")]
