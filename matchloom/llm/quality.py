@@ -57,16 +57,16 @@ def judge(raw: bytes, pack: zstandard.ZstdCompressor) -> tuple:
     base_failed = n < MIN_WORDS or 100 * repeats > REPEAT_PERCENT * n
     ratio = len(raw) / len(pack.compress(raw)) if raw else 0.0
     chunks = []
-    for at in range(0, len(raw), CHUNK_BYTES):
+    for at in range(0, len(raw), CHUNK_BYTES):             # a short tail is held against the band of its own length
         part = raw[at:at + CHUNK_BYTES]
-        if len(part) == CHUNK_BYTES or at == 0:            # a short tail is part of the whole-document ratio only
-            chunks.append((len(part), len(part) / len(pack.compress(part))))
+        chunks.append((len(part), len(part) / len(pack.compress(part))))
     low, high = band(len(raw))
+    full = [r for n_bytes, r in chunks if n_bytes == CHUNK_BYTES] or [r for _, r in chunks]     # a tail's ratio does not compare
     odd = sum(size for size, r in chunks if not (band(size)[0] <= r <= band(size)[1]))
     kept = not base_failed and low <= ratio <= high and odd <= CHUNK_SHARE * len(raw)
     return (n, len(b"".join(words).decode("utf-8", "replace")), len(raw) - len(raw.translate(None, SYMBOLS)),
             len(lines) - len(set(lines)), repeats, base_failed, kept, ratio,
-            min((r for _, r in chunks), default=0.0), max((r for _, r in chunks), default=0.0), odd)
+            min(full, default=0.0), max(full, default=0.0), odd)
 
 
 def _judged(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

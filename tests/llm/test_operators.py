@@ -342,6 +342,15 @@ def test_quality_rejects_base64_and_keys():
     assert quality.judge(half[:50_000], pack)[6]
 
 
+def test_quality_judges_the_last_chunk():
+    pack = zstandard.ZstdCompressor(level=3)
+    rng = random.Random(1)
+    noise = " ".join("".join(chr(33 + rng.randrange(94)) for _ in range(40)) for _ in range(100)).encode()[:4000]
+    clean = prose(1, 3000).encode()
+    got = [quality.judge(t, pack) for t in (clean[:4096] + noise, clean[:4096] + b"again and " * 400, clean[:8096], clean[:4196])]
+    assert [r[6] for r in got] == [False, False, True, True] and [r[10] for r in got] == [4000, 4000, 0, 0]
+
+
 # ------------------------------------------------------------------ 10
 def test_mixing(spark, docs, empty):
     rows = [(i, prose(i, 5 + i % 60), ["x", "y", "z", None, "w"][min(i % 9, 4)]) for i in range(800)] + [(1000, None, "zero"), (1, prose(1, 6), "y")]
