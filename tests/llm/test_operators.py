@@ -124,6 +124,14 @@ def test_named_secrets(text, found):
     assert [text[a:b] for a, b in secret_scan.named_spans(text)] == found
 
 
+@pytest.mark.parametrize("name", [n for n, weight in secret_scan.NAME_PARTS.items() if weight >= 2] + ["stripe_api", "ENCRYPTION", "access_api"])
+def test_scan_sees_every_sensitive_name(name):
+    text = f'{name} = "Zx81.kQp4!mN7rT2vW"'
+    assert secret_scan.named_spans(text) == [(len(name) + 4, len(text) - 1)]
+    counts = secret_scan.scan(text)
+    assert counts[5] == 1 or counts[0] == 1                # found by its name, or inside a base span already
+
+
 def test_base_secrets(spark, empty):
     text = "é API_key: 'abcd1234' AKIA1234567890ABCD AKIAshort " + "0f" * 20 + " token=short \u017fecret=abcdefgh9"
     expected = [(2, 21, "assign"), (23, 41, "access"), (52, 92, "hex")]
