@@ -75,18 +75,31 @@ def literal_score(value: str) -> float:
     return min(len(value), 32) / 16 + entropy / 2 + (kinds - 2)
 
 
-def pairs(text: str) -> Iterator[tuple[str, list[tuple[str, int, int, bool]]]]:
-    """(name, value parts) of each assignment; a part is (text, start, end, is a literal)."""
+def closings(tokens: list[tuple]) -> dict[int, int]:
+    """Position of the bracket that closes each bracket."""
+    opened, out = [], {}
+    for i, (kind, op, _, _) in enumerate(tokens):
+        if kind == "op" and op in "([{":
+            opened.append(i)
+        elif kind == "op" and op in ")]}" and opened:
+            out[opened.pop()] = i
+    return out
+
+
+def pairs(text: str) -> Iterator[tuple[str, list[list[tuple[str, int, int, bool]]]]]:
+    """(name, values) of each assignment. A value is a list of parts (text, start, end, is a literal); a list or a call
+    gives one value per element or argument."""
     tokens = []
     for m in re.finditer(TOKENS, text, re.X):
         kind = m.lastgroup if m.lastgroup in ("string", "op", "word", "line", "comment") else "tag" if m["tag"] else "flag"
         if kind in ("tag", "flag"):
-            yield m[kind + "name"], [(m[kind + "value"].strip(), m.start(kind + "value"), m.end(kind + "value"), True)]
+            yield m[kind + "name"], [[(m[kind + "value"].strip(), m.start(kind + "value"), m.end(kind + "value"), True)]]
             tokens.append(("line", "", m.start(), m.end()))
         elif kind == "string":
             tokens.append((kind, m[0][1:-1], m.start() + 1, m.end() - 1))
         elif kind != "comment":
             tokens.append((kind, m[0], m.start(), m.end()))
+    closes = closings(tokens)
     for i, (kind, op, _, _) in enumerate(tokens):
         if kind != "op" or op not in (":=", "=>", "=", ":") or i == 0:
             continue
@@ -95,38 +108,64 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[str, int, int, bool]]]]:
             at -= 1
         if tokens[at][0] not in ("string", "word"):
             continue
-        name, parts, j, joined = tokens[at][1], [], i + 1, True
+        name, values, j, joined, ends = tokens[at][1], [[]], i + 1, True, []
         while j < len(tokens):
             part, value, start, end = tokens[j]
-            if part in ("string", "word") and joined:
-                parts.append((value, start, end, part == "string"))
+            after = tokens[j + 1] if j + 1 < len(tokens) else ("line", "", end, end)
+            if part == "word" and joined and value == "new" and after[0] == "word":
+                pass
+            elif part == "word" and joined and after[0] == "op" and after[1] == "(" and after[2] == end:     # called: f("...")
+                pass
+            elif part in ("string", "word") and joined:
+                values[-1].append((value, start, end, part == "string"))
                 joined = False
             elif part == "op" and value == "+" and not joined:
                 joined = True
-            elif part == "op" and value in "([{" and joined:                        # wrapped: f("..."), ["..."]
-                pass
-            else:
+            elif part == "op" and value in "([{" and joined:                        # wrapped: f("...", "..."), ["...", "..."]
+                if j in closes:
+                    ends.append(closes[j])
+            elif ends and j == ends[-1]:
+                ends.pop()
+                joined = False
+            elif ends and part == "op" and value in (",", ";"):
+                values.append([])
+                joined = True
+            elif ends and part == "op" and value in ("=", ":", ":=", "=>"):          # what came before names the element
+                values[-1] = []
+                inner = j + 1
+                while tokens[inner][0] == "word":
+                    inner += 1
+                joined = inner not in closes                                        # brackets of its own are read for its own name
+                j = j if joined else closes[inner]
+            elif ends and part == "string":
+                values.append([(value, start, end, True)])
+            elif not ends:
                 break
             j += 1
-        if parts:
-            yield name, parts
+        values = [parts for parts in values if parts]
+        if values:
+            yield name, values
 
 
 def named_spans(text: str) -> list[tuple[int, int]]:
     """Literals that reach a sensitive name, directly or through constants."""
-    constants: dict[str, list[tuple[str, int, int]]] = {}
+    constants: dict[str, list[list[tuple[str, int, int]]]] = {}
     found = set()
-    for name, parts in pairs(text):
-        literals = []
-        for value, start, end, quoted in parts:
-            known = constants.get(value.lstrip("$")) if not quoted else None
-            literals += known if known is not None else [(value, start, end)]
-        constants[name.lstrip("$").split(".")[-1] if name.startswith("$") else name] = literals
+    for name, values in pairs(text):
+        reached = []
+        for parts in values:
+            known = [constants.get(value.lstrip("$")) if not quoted else None for value, _, _, quoted in parts]
+            if len(parts) == 1 and known[0] is not None:
+                reached += known[0]
+            else:
+                reached.append([x for (value, start, end, _), of in zip(parts, known)
+                                for x in ([(value, start, end)] if of is None else [y for one in of for y in one])])
+        constants[name.lstrip("$").split(".")[-1] if name.startswith("$") else name] = reached
         weight = name_score(name)
-        if weight > 0:
-            whole = "".join(v for v, _, _ in literals)
-            if weight + literal_score(whole) >= MIN_SCORE and weight >= 2:
-                found.update((start, end) for _, start, end in literals if end > start)
+        if weight >= 2:
+            for literals in reached:
+                if weight + literal_score("".join(v for v, _, _ in literals)) >= MIN_SCORE:
+                    found.update((start, end) for _, start, end in literals if end > start)
     return sorted(found)
 
 

@@ -115,6 +115,9 @@ SECRETS = [
     ("run --auth-token abcDEF123456 now", ["abcDEF123456"]),
     ('a = "abcd1234"\nb = "EFGH5678"\nsecret_key = a + b', ["abcd1234", "EFGH5678"]),
     ("password_length = 12345678", []), ('public_key = "abcDEF123456xyz"', []), ('db_password = "${DB_PASSWORD}"', []),
+    ('password = decode("Zx81kQp4mN7r")', ["Zx81kQp4mN7r"]), ('password = new String("Zx81kQp4mN7r")', ["Zx81kQp4mN7r"]),
+    ('tokens = 1\ntoken = ["aB3dE5gH7jK9",\n  "cD4eF6gH8iJ0"]\nother = "zY9xW8vU7tS6"', ["aB3dE5gH7jK9", "cD4eF6gH8iJ0"]),
+    ('x = ["aB3dE5gH7jK9", "changeme"]\nsecret = f(x)', ["aB3dE5gH7jK9"]), ('token = ("aB3dE5gH7jK9"', ["aB3dE5gH7jK9"]),
     ("the token is: nothing more to say. key points are: first things", []), ("", []),
 ]
 
