@@ -112,3 +112,88 @@ def targets(sizes, weights=(5, 2, 1), cap=3):
         if not over:
             return fixed | share
         fixed |= {s: cap * sizes[s] for s in over}
+
+
+def node(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(fields):
+    return node(*["-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields])
+
+
+def climbed(level, at, own):
+    """(joined siblings, last node with ``own`` at ``at``, last node) of one tree of threes."""
+    siblings, level = [], list(level)
+    while len(level) > 1:
+        start = at - at % 3
+        left, right = level[start:at], level[at + 1:start + 3]
+        siblings += left + right
+        own = node(*left, own, *right)
+        level, at = [node(*level[i:i + 3]) for i in range(0, len(level), 3)], at // 3
+    return siblings, own, level[0]
+
+
+def manifest(rows):
+    """``rows``: (key, group, leaf, changed leaf). Returns sorted (key, leaf, subroot, root, proof, folded, verified)."""
+    groups = {}
+    for key, group, own, changed in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[2])):
+        groups.setdefault(group, []).append((key, own, changed))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    subroots = [climbed([m[1] for m in groups[g]], 0, groups[g][0][1])[2] for g in names]
+    out = []
+    for g, name in enumerate(names):
+        leaves = [m[1] for m in groups[name]]
+        for at, (key, own, changed) in enumerate(groups[name]):
+            low, top, _ = climbed(leaves, at, changed)
+            high, folded, root = climbed(subroots, g, top)
+            out.append((key, own, subroots[g], root, node(*low, *high), folded, folded == root))
+    return sorted(out, key=str)
+
+
+STEPS = {("0", "s"): "S", ("0", "u"): "U", ("S", "u"): "U", ("U", "a"): "A", ("A", "u"): "U"}
+
+
+def cheapest_edits(rows):
+    """Least (cost, audit) for (initial, fault) rows, by relaxing one row after the other."""
+    def relax(layer):
+        while True:
+            better = [(STEPS[p, i], (c + 5, a + "I")) for p, (c, a) in layer.items() for i in "ua" if (p, i) in STEPS]
+            better = [(q, v) for q, v in better if q not in layer or v < layer[q]]
+            if not better:
+                return layer
+            for q, v in better:
+                layer[q] = min(v, layer.get(q, v))
+
+    layer = relax({"0": (0, "")})
+    for initial, fault in rows:
+        steps = []
+        for p, (c, a) in layer.items():
+            steps.append((p, (c + 2, a + "D")))
+            if fault not in ("blank", "duplicate"):
+                extra = 5 * (fault == "truncated")
+                steps += [(STEPS[p, initial], (c + extra, a + "K"))] if (p, initial) in STEPS else []
+                steps += [(STEPS[p, i], (c + 1 + extra, a + "R")) for i in "ua" if (p, i) in STEPS]
+        layer = relax({q: min(v for s, v in steps if s == q) for q in {s for s, _ in steps}})
+    return min(layer[q] for q in "0A" if q in layer)
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, sha256) of one conversation's rows (turn, role, text) in order."""
+    seen, faults = set(), []
+    for _, role, text in rows:
+        shown = text.strip(" \t\n\x0b\x0c\r")
+        faults.append("blank" if not shown else "duplicate" if (role, text) in seen else "" if shown[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    cost, audit = cheapest_edits([(role[:1], f) for (_, role, _), f in zip(rows, faults)])
+    left, out = list(rows), []
+    for edit in audit:
+        role, text = left.pop(0)[1:] if edit != "I" else ("", "")
+        wanted = "assistant" if out and out[-1][0][:1] == "u" else "user"
+        if edit != "D":
+            out.append((role if edit == "K" else wanted, text))
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest()
+    return gaps, faults.count("blank"), faults.count("duplicate"), faults.count("truncated"), illegal, cost, audit, digest
