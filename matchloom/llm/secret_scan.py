@@ -65,14 +65,70 @@ def name_score(name: str) -> int:
     return sum(NAME_PARTS.get(p.lower(), 0) for p in parts)
 
 
-def literal_score(value: str) -> float:
-    """Length, mixed characters and entropy speak for a secret; placeholders and plain words against it."""
-    if len(value) < MIN_LENGTH or re.search(PLACEHOLDER, value) or re.search(r"\s", value):
-        return -10.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(len(value), 32) / 16 + entropy / 2 + (kinds - 2)
+class Summary:
+    """What a score needs of a text that is joined from others, without the text: any number of parts add up in the
+    time of their alphabet. ``size`` stays finite where constants are doubled again and again."""
+
+    __slots__ = ("size", "counts", "odd")
+    MOST = 1e15
+
+    def __init__(self, size: float, counts: dict[str, float], odd: bool):
+        self.size, self.counts, self.odd = size, counts, odd
+
+    @classmethod
+    def of(cls, value: str) -> "Summary":
+        return cls(len(value), Counter(value), bool(re.search(PLACEHOLDER, value) or re.search(r"\s", value)))
+
+    @classmethod
+    def joined(cls, parts: list["Summary"]) -> "Summary":
+        size, counts = sum(p.size for p in parts), Counter()
+        for p in parts:
+            counts.update(p.counts)
+        shrink = min(1.0, cls.MOST / size) if size else 1.0
+        return cls(size * shrink, {c: n * shrink for c, n in counts.items()} if shrink < 1 else counts, any(p.odd for p in parts))
+
+    def score(self) -> float:
+        """Length, mixed characters and entropy speak for a secret; placeholders, blanks and plain words against it."""
+        if self.size < MIN_LENGTH or self.odd:
+            return -10.0
+        entropy = -sum(n / self.size * math.log2(n / self.size) for n in self.counts.values() if n)
+        every = "".join(self.counts)
+        kinds = sum(bool(re.search(p, every)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        return min(self.size, 32) / 16 + entropy / 2 + (kinds - 2)
+
+
+class Value:
+    """A literal (with its span), one text joined from several values, or the values that a name may stand for."""
+
+    __slots__ = ("span", "parts", "joins", "known", "weight")
+
+    def __init__(self, span: tuple[int, int] | None, parts: list["Value"], joins: bool, summary: Summary | None = None):
+        self.span, self.parts, self.joins, self.known, self.weight = span, parts, joins, summary, None
+
+    def summary(self) -> Summary:
+        """Of all that lies below; computed once, from the bottom up and without recursion."""
+        path = [self]
+        while path:
+            value = path[-1]
+            missing = [v for v in value.parts if v.known is None]
+            if value.known is None and not missing:
+                value.known = Summary.joined([v.known for v in value.parts])
+            if value.known is not None:
+                path.pop()
+            else:
+                path += missing
+        return self.known
+
+    def literals(self, taken: set[int], found: set[tuple[int, int]]) -> None:
+        """Add all spans below to ``found``; ``taken`` has what was added before."""
+        path = [self]
+        while path:
+            value = path.pop()
+            if id(value) not in taken:
+                taken.add(id(value))
+                if value.span:
+                    found.add(value.span)
+                path += value.parts
 
 
 def closings(tokens: list[tuple]) -> dict[int, int]:
@@ -148,25 +204,38 @@ def pairs(text: str) -> Iterator[tuple[str, list[list[tuple[str, int, int, bool]
 
 
 def named_spans(text: str) -> list[tuple[int, int]]:
-    """Literals that reach a sensitive name, directly or through constants."""
-    constants: dict[str, list[list[tuple[str, int, int]]]] = {}
-    found = set()
+    """Literals that reach a sensitive name, directly or through constants.
+
+    A constant is a reference to its values, each literal there is once, and each value is visited with the highest weight that
+    reaches it: the work grows with the text, however often constants are used in each other.
+    """
+    constants: dict[str, Value] = {}
+    marks: list[tuple[int, Value]] = []
     for name, values in pairs(text):
         reached = []
         for parts in values:
             known = [constants.get(value.lstrip("$")) if not quoted else None for value, _, _, quoted in parts]
-            if len(parts) == 1 and known[0] is not None:
-                reached += known[0]
-            else:
-                reached.append([x for (value, start, end, _), of in zip(parts, known)
-                                for x in ([(value, start, end)] if of is None else [y for one in of for y in one])])
+            own = [of or Value((start, end), [], False, Summary.of(value)) for (value, start, end, _), of in zip(parts, known)]
+            reached.append(own[0] if len(own) == 1 else Value(None, own, True))
+        reached = Value(None, reached, False)
         constants[name.lstrip("$").split(".")[-1] if name.startswith("$") else name] = reached
         weight = name_score(name)
         if weight >= 2:
-            for literals in reached:
-                if weight + literal_score("".join(v for v, _, _ in literals)) >= MIN_SCORE:
-                    found.update((start, end) for _, start, end in literals if end > start)
-    return sorted(found)
+            marks.append((weight, reached))
+    found, taken = set(), set()
+    for weight, reached in sorted(marks, key=lambda m: -m[0]):
+        path = [reached]
+        while path:
+            value = path.pop()
+            if value.weight is not None:                   # seen with this weight or a higher one
+                continue
+            value.weight = weight
+            if value.span or value.joins:
+                if weight + value.summary().score() >= MIN_SCORE:
+                    value.literals(taken, found)
+            else:
+                path += value.parts
+    return sorted(span for span in found if span[1] > span[0])
 
 
 def scan(text: str) -> tuple:
