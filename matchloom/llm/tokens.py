@@ -33,7 +33,7 @@ SHARD_BYTES = 8 << 20
 HEADER_BYTES = struct.calcsize(HEADER)
 END_ID = 1
 MEMO, LONG_WORD = 700_000, 64
-BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+BASE = 0xD6E8FEB86659FD93
 BATCH_BYTES = 1 << 19      # texts encoded together
 
 
@@ -61,27 +61,26 @@ class Encoder:
 
     The vocabulary drops white space before it merges, so the pieces between ASCII white space encode alone. Punctuation
     after an ASCII letter is merged apart from it, and case is dropped: a piece is a lower-case word and a tail. Equal
-    words of a batch are found by two 64-bit hashes and encoded once; the memo holds sorted hashes and packed ids.
+    words of a batch are found by a 64-bit hash and then compared byte by byte, with each other and with the word that the
+    memo holds under that hash; each is encoded once. The memo has sorted hashes, the words and their packed ids.
     """
 
     def __init__(self, vocabulary: str):
         self.model = Tokenizer.from_file(vocabulary)
         self.merges = self.model.model
         self.width = 2 if max(max(self.model.get_vocab().values()), END_ID) < 1 << 16 else 4
-        self.powers = []
-        for base in BASES:
-            inverse = pow(base, -1, 1 << 64)
-            self.powers.append((_powers(base), _powers(inverse)))
+        self.powers, self.inverses = _powers(BASE), _powers(pow(BASE, -1, 1 << 64))
         self.forget()
 
     def forget(self) -> None:
-        #: Two tables, one for most words and one for the latest: hashes sorted by the first, place and number of ids.
+        #: Two tables, one for most words and one for the latest: sorted hashes, place and number of ids, place and number of bytes.
         self.tables = [self.no_words(), self.no_words()]
         self.ids, self.used = np.empty(1 << 16, f"<u{self.width}"), 0
+        self.letters, self.written = np.empty(1 << 16, np.uint8), 0
 
     @staticmethod
     def no_words() -> tuple[np.ndarray, ...]:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(4))
 
     def known_words(self) -> int:
         return sum(len(t[0]) for t in self.tables)
@@ -99,7 +98,7 @@ class Encoder:
     def whole(self, texts: list[bytes]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
 
-    def learn(self, words: list[bytes], first: np.ndarray, second: np.ndarray) -> None:
+    def learn(self, words: list[bytes], hashes: np.ndarray) -> None:
         """Words of ASCII letters need no normaliser or splitter, only the merges over their bytes."""
         plain = [w.isalpha() and len(w) <= LONG_WORD for w in words]                   # of bytes: ASCII letters only
         others = iter(self.whole([w for w, p in zip(words, plain) if not p]))
@@ -110,8 +109,14 @@ class Encoder:
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), self.ids.dtype, total)
         self.used += total
+        length = np.array([len(w) for w in words])
+        of, total = self.written + np.cumsum(length) - length, int(length.sum())
+        while self.written + total > len(self.letters):
+            self.letters = np.concatenate([self.letters, np.empty_like(self.letters)])
+        self.letters[self.written:self.written + total] = np.frombuffer(b"".join(words), np.uint8)
+        self.written += total
         main, latest = self.tables
-        latest = self.joined(latest, (first, second, at, size))
+        latest = self.joined(latest, (hashes, at, size, of, length))
         self.tables = [main, latest] if 4 * len(latest[0]) < len(main[0]) + (1 << 16) else [self.joined(main, latest), self.no_words()]
 
     @staticmethod
@@ -120,29 +125,31 @@ class Encoder:
         order = np.argsort(both[0], kind="stable")
         return tuple(x[order] for x in both)
 
-    def find(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, number) of the ids of sorted hashes; number -1 for an unknown word."""
-        at, size = np.zeros(len(first), np.int64), np.full(len(first), -1, np.int64)
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """(place, number) of the ids and (place, number) of the bytes known under sorted hashes; -1 ids where none is."""
+        out = np.zeros((4, len(hashes)), np.int64)
+        out[1] = -1
         for table_ in self.tables:
             if len(table_[0]):
-                row = np.minimum(np.searchsorted(table_[0], first), len(table_[0]) - 1)
-                known = (table_[0][row] == first) & (table_[1][row] == second)
-                at[known], size[known] = table_[2][row[known]], table_[3][row[known]]
-        return at, size
+                row = np.minimum(np.searchsorted(table_[0], hashes), len(table_[0]) - 1)
+                known = table_[0][row] == hashes
+                for column, values in zip(out, table_[1:]):
+                    column[known] = values[row[known]]
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text. Texts with the start of a special token, which depends on case, go to the model whole."""
         odd = [b"<|" in t for t in texts]
         out = self._encode([b"" if o else t for t, o in zip(texts, odd)])
-        if out is None:                                    # two words of one batch share a hash
+        if out is None:                                    # two different words share a hash
             return [self.packed(x) for x in self.whole(texts)]
         special = iter(self.whole([t for t, o in zip(texts, odd) if o]))
         return [self.packed(next(special)) if o else x for x, o in zip(out, odd)]
 
     def _encode(self, texts: list[bytes]) -> list[bytes] | None:
         raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-        if len(raw) > len(self.powers[0][0]):
-            self.powers = [(_powers(b, len(raw)), _powers(pow(b, -1, 1 << 64), len(raw))) for b in BASES]
+        if len(raw) > len(self.powers):
+            self.powers, self.inverses = _powers(BASE, len(raw)), _powers(pow(BASE, -1, 1 << 64), len(raw))
         kind = KINDS[raw]
         shown = kind != 0
         edge = np.flatnonzero(np.diff(shown, prepend=False))
@@ -166,24 +173,26 @@ class Encoder:
         a, b = np.empty(int(parts.sum()), np.int64), np.empty(int(parts.sum()), np.int64)
         a[place], b[place] = start, middle
         a[place[tailed] + 1], b[place[tailed] + 1] = middle[tailed], end[tailed]
-        first, second = (self._hashes(low, a, b, *p) for p in self.powers)
-        order = np.argsort(first)
-        ranked = first[order]
+        hashes = self._hashes(low, a, b, self.powers, self.inverses)
+        order = np.argsort(hashes)
+        ranked = hashes[order]
         fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
         own, where, back = ranked[fresh], order[fresh], np.empty(len(order), np.int64)
         back[order] = np.cumsum(fresh) - 1
-        if (second[where][back] != second).any():
+        of = where[back]                                   # the piece that stands for each piece
+        if not same_bytes(low, a, b - a, low, a[of], (b - a)[of]):
             return None
         if self.known_words() > MEMO:
             self.forget()
-        at, size = self.find(own, second[where])
-        new = np.flatnonzero(size < 0)
+        at, size, word, letters = self.find(own)
+        known = size >= 0
+        if not same_bytes(low, a[where[known]], (b - a)[where[known]], self.letters, word[known], letters[known]):
+            return None
+        new = np.flatnonzero(~known)
         if len(new):
             view = low.tobytes()
-            self.learn([view[x:y] for x, y in zip(a[where[new]].tolist(), b[where[new]].tolist())], own[new], second[where[new]])
-            at, size = self.find(own, second[where])
-            if (size < 0).any():
-                return None
+            self.learn([view[x:y] for x, y in zip(a[where[new]].tolist(), b[where[new]].tolist())], own[new])
+            at, size, _, _ = self.find(own)
         at, size = at[back], size[back]
         until = np.cumsum(size)
         ids = self.ids[np.repeat(at - until + size, size) + np.arange(until[-1])]
@@ -200,6 +209,14 @@ class Encoder:
         return x ^ (x >> np.uint64(29))
 
 
+def same_bytes(x: np.ndarray, x_at: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_at: np.ndarray, y_size: np.ndarray) -> bool:
+    """Whether each x[x_at:x_at + x_size] equals its y[y_at:y_at + y_size]."""
+    if not np.array_equal(x_size, y_size):
+        return False
+    inside = np.arange(x_size.sum()) - np.repeat(np.cumsum(x_size) - x_size, x_size)
+    return np.array_equal(x[np.repeat(x_at, x_size) + inside], y[np.repeat(y_at, x_size) + inside])
+
+
 def _powers(base: int, n: int = 5 << 17) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
@@ -276,7 +293,7 @@ def encoded(encoder: Encoder, texts: Iterable[bytes]) -> Iterator[bytes]:
 
 def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, text: str = "text", key: str = "doc_id",
                  shard_bytes: int = SHARD_BYTES) -> None:
-    """Write all documents in ascending key order; folders name each shard's place, documents, ids and first key."""
+    """Write all documents in ascending key order; folders name each shard's place, documents and ids."""
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seq, size, keys, payloads = Encoder.of_worker(vocabulary or vocabulary_file()), 0, 0, [], []
         end = np.array([END_ID], f"<u{encoder.width}").tobytes()
@@ -285,9 +302,8 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, text
 
         def shard() -> pa.RecordBatch:
             ids = sum(map(len, payloads)) // encoder.width
-            first, at = keys[0]
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "docs": [len(keys)], "ids": [ids],
-                                               "first": [entry_key(first, at).hex()], "content": [pack_shard(encoder.width, keys, payloads)]})
+                                               "content": [pack_shard(encoder.width, keys, payloads)]})
 
         for batch in batches:
             bodies = (x.as_py() for x in batch.column("body"))
@@ -307,8 +323,8 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, text
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     ordered = docs.select(F.col(key).alias("order"), body.alias("body")).repartitionByRange("order", F.xxhash64("body"))
     rows = ordered.sortWithinPartitions(F.col("order").asc_nulls_first(), F.xxhash64("body")).select(F.col("order").cast("string").alias("key"), "body")
-    out = rows.mapInArrow(shards, "part int, seq int, docs long, ids long, first string, content binary")
-    write_files(out, path, "content", ["part", "seq", "docs", "ids", "first"], END_MARK)
+    out = rows.mapInArrow(shards, "part int, seq int, docs long, ids long, content binary")
+    write_files(out, path, "content", ["part", "seq", "docs", "ids"], END_MARK)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
