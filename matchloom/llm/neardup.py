@@ -316,13 +316,13 @@ class NearDuplicates:
                 .select("cloud", "i", F.lit(True).alias("right"), "node", F.col("node").alias("root"), "minima", "shingles"))
 
     def resolve(self) -> DataFrame:
-        """(doc, node, n_shingles, component) per input row."""
+        """(doc, node, n_shingles, root, component) per input row; root is the smallest node of the component."""
         rows, nodes = self.sketch()
         roots = self.roots(nodes)
         named = roots.join(nodes.select("node", "doc"), "node")
         lows = named.groupBy("root").agg(F.min("doc").alias("component"))
-        labels = named.join(lows, "root").select("node", "component")
-        alone = nodes.join(labels, "node", "left_anti").select("node", F.col("doc").alias("component"))
+        labels = named.join(lows, "root").select("node", "root", "component")
+        alone = nodes.join(labels, "node", "left_anti").select("node", F.col("node").alias("root"), F.col("doc").alias("component"))
         of_node = labels.unionByName(alone)
         return (rows.select("doc", "node", "n_shingles").join(of_node, "node", "left")
                 .withColumn("component", F.when(F.col("n_shingles") == 0, F.col("doc")).otherwise(F.col("component"))))
@@ -336,10 +336,21 @@ def near_duplicates(docs: DataFrame, span: int = 5, percent: int = PERCENT, text
 
 
 def drop_near_duplicates(docs: DataFrame, span: int = 5, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Rows whose key names their component, with their columns as they were."""
-    [gone] = fresh(docs, "gone")
-    dropped = near_duplicates(docs, span, percent, text, key).filter(~F.col("kept")).select(F.col(key).alias(gone)).distinct()
-    return docs.join(dropped, F.col(key).eqNullSafe(F.col(gone)), "left_anti")
+    """One row of each component, with its columns as they were: that of the smallest key (null last), and among rows of
+    one key that of the smallest text digest. Rows that repeat key and text count as one. Texts without words all stay."""
+    [key_of, node_of] = fresh(docs, "key_of", "node_of")
+    rows = stored(NearDuplicates(docs, span, percent, text, key).resolve().filter("n_shingles > 0").groupBy("root", "doc", "node").agg(
+        F.count(F.lit(1)).alias("copies")), "near-duplicates")
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "node")).alias("best"))
+    placed = rows.join(best, "root").withColumn("stays", F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("node") == F.col("best.node")))
+    gone = placed.filter("not stays").select(F.col("doc").alias(key_of), F.col("node").alias(node_of))
+    repeated = placed.filter("stays and copies > 1").select(F.col("doc").alias(key_of), F.col("node").alias(node_of))
+    same = F.col(key).eqNullSafe(F.col(key_of)) & (F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))) == F.col(node_of))
+    kept = docs.join(gone, same, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    copies = kept.join(repeated, same)
+    return kept.join(repeated, same, "left_anti").unionByName(copies.dropDuplicates([key_of, node_of]).drop(key_of, node_of))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
