@@ -35,6 +35,7 @@ END_ID = 1
 MEMO, LONG_WORD = 700_000, 64
 BASE = 0xD6E8FEB86659FD93
 BATCH_BYTES = 1 << 19      # texts encoded together
+COMPARED = 1 << 16
 
 
 def _kinds() -> np.ndarray:
@@ -80,7 +81,7 @@ class Encoder:
 
     @staticmethod
     def no_words() -> tuple[np.ndarray, ...]:
-        return np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(4))
+        return np.empty(0, np.uint64), *(np.empty(0, np.int32) for _ in range(4))
 
     def known_words(self) -> int:
         return sum(len(t[0]) for t in self.tables)
@@ -116,7 +117,7 @@ class Encoder:
         self.letters[self.written:self.written + total] = np.frombuffer(b"".join(words), np.uint8)
         self.written += total
         main, latest = self.tables
-        latest = self.joined(latest, (hashes, at, size, of, length))
+        latest = self.joined(latest, (hashes, *(x.astype(np.int32) for x in (at, size, of, length))))
         self.tables = [main, latest] if 4 * len(latest[0]) < len(main[0]) + (1 << 16) else [self.joined(main, latest), self.no_words()]
 
     @staticmethod
@@ -210,11 +211,18 @@ class Encoder:
 
 
 def same_bytes(x: np.ndarray, x_at: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_at: np.ndarray, y_size: np.ndarray) -> bool:
-    """Whether each x[x_at:x_at + x_size] equals its y[y_at:y_at + y_size]."""
+    """Whether each x[x_at:x_at + x_size] equals its y[y_at:y_at + y_size]; about COMPARED bytes are held at a time."""
     if not np.array_equal(x_size, y_size):
         return False
-    inside = np.arange(x_size.sum()) - np.repeat(np.cumsum(x_size) - x_size, x_size)
-    return np.array_equal(x[np.repeat(x_at, x_size) + inside], y[np.repeat(y_at, x_size) + inside])
+    until, first = np.cumsum(x_size), 0
+    while first < len(x_size):
+        last = max(first + 1, int(np.searchsorted(until, (until[first - 1] if first else 0) + COMPARED, "right")))
+        size = x_size[first:last]
+        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        if not np.array_equal(x[np.repeat(x_at[first:last], size) + inside], y[np.repeat(y_at[first:last], size) + inside]):
+            return False
+        first = last
+    return True
 
 
 def _powers(base: int, n: int = 5 << 17) -> np.ndarray:
