@@ -5,10 +5,10 @@ estimator does. The ranking itself is lazy. Two exact plans compute it, with the
 
 * *direct*: the query vectors, once their counted size proves small, are broadcast to the postings, which
   are partitioned by text. Scores add up inside each task; only k rows per query and task are shuffled.
-* *pruned*: for many queries. A lower bound of the k-th best score, taken from the best postings of each query
-  term and from its rarest terms, tells which frequent terms cannot lift a text into the ranking on their own. Only the other terms are
-  joined; the few surviving pairs are completed with the rest. Frequent terms thus never pair all queries
-  with all texts, and those that are needed are salted.
+* *pruned*: for many queries. A lower bound of the k-th best score, taken from the postings of each query's rarest terms,
+  tells which frequent terms cannot lift a text into the ranking on their own. The other terms are joined with block maxima
+  (see ``blockmax``), the best blocks raise the bound, and only texts of the few blocks that still reach it are scored.
+  Frequent terms thus never pair all queries with all texts, and those that are needed are salted.
 
 A BM25 floor below zero (most of the vocabulary in more than half of the records) makes shared terms lower scores. No
 bound holds then, so either plan sums all pairs that share a term, and records that share none rank above them at 0.
@@ -21,17 +21,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matchloom.operators import corpus
+from matchloom.operators.blockmax import block_peaks, first_blocks, in_bands, limits, reaches, text_blocks, tightened
 from matchloom.operators.joins import (
     BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, hot_keys, lookup, salted_join)
+from matchloom.operators.storage import discard, written
 from matchloom.operators.topk import TIE_DIGITS, pad_zero, top_k
 from matchloom.sources.records import number_rows
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
-SEED_ROWS = 2_000          # postings of a query's rarest terms looked at for the lower bound, where they are that few
-CHAMPIONS = 32             # postings of highest weight per term, looked at for every query
+SEED_ROWS = 1_200          # postings of a query's rarest terms looked at for the first lower bound, where they are that few
+SEED_TEXTS = 4             # times k texts of these are scored exactly
+CHAMPIONS = 32             # postings of highest weight of a query's rarest term, where that is frequent
+BEST_BLOCKS = 4            # blocks scored exactly to raise the lower bound
 PAIRS_PER_CORE = 50_000_000      # beyond either, the direct plan gives way to the pruned one
 SUMS_PER_CORE = 5_000_000
-MARGIN = 1e-7              # far above rounding noise of score sums, far below any score gap that matters
 
 
 def smooth_idf(n: Column, df: Column) -> Column:
@@ -69,6 +72,8 @@ class SparseIndex:
     negative: bool = False             # BM25 floor below zero: sharing a term can lower a score
     kept: list[DataFrame] = field(default_factory=list)
     copies: dict[int, DataFrame] = field(default_factory=dict)      # by k: text_id, doc_id of its k lowest copies
+    shared: dict[str, DataFrame] = field(default_factory=dict)      # what all searches use: postings, blocks, maxima
+    files: list[str] = field(default_factory=list)                  # written tables of searches
 
     @classmethod
     def fit(cls, docs: DataFrame, analyzer: str, weighting: str) -> "SparseIndex":
@@ -101,9 +106,13 @@ class SparseIndex:
         """Drop what was persisted since ``mark`` frames were held; everything, by default."""
         while len(self.kept) > mark:
             self.kept.pop().unpersist()
+        while self.files:
+            discard(self.docs.sparkSession, self.files.pop())
         if mark == 0:
             while self.copies:
                 self.copies.popitem()[1].unpersist()
+            while self.shared:
+                self.shared.popitem()[1].unpersist()
 
     def copies_of(self, k: int) -> DataFrame:
         """The k lowest documents of every text; made from the catalog once and kept with the index."""
@@ -233,49 +242,78 @@ class SparseIndex:
         order = Window.partitionBy("term").orderBy(F.desc("wd"), "text_id")
         return postings.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= CHAMPIONS).drop("place")
 
-    def _pruned(self, vectors: DataFrame, k: int) -> DataFrame:
-        cosine = self.norms is not None
-        terms = vectors.select("term", "idf").distinct()
-        postings = self._keep(self._scaled(lookup(self.counts, terms, "term"))
-                              .select("text_id", "term", F.col("weight").alias("wd")))
-
-        rare_first = Window.partitionBy("qid").orderBy("text_df", "term").rowsBetween(
-            Window.unboundedPreceding, 0)
-        seeds = vectors.withColumn("seen", F.sum("text_df").over(rare_first)).filter(F.col("seen") <= SEED_ROWS)
-        by_rare = seeds.select("qid", "term", "wq").join(postings, "term").select("qid", "text_id", "term", "wq", "wd")
-        by_weight = vectors.select("qid", "term", "wq").join(self.champions(postings), "term").select("qid", "text_id", "term", "wq", "wd")
-        found = top_k(by_rare.unionByName(by_weight).dropDuplicates(["qid", "text_id", "term"]).groupBy("qid", "text_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score")),
-                      k, "qid", "text_id").select("qid", "text_id")
-        exact = (found.join(vectors.select("qid", "term", "wq"), "qid").join(postings, ["text_id", "term"])
-                 .groupBy("qid", "text_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score")))
-        floors = exact.groupBy("qid").agg(
+    def _shared(self, name: str, build) -> DataFrame:
+        if name not in self.shared:
+            self.shared[name] = build().persist()
+        return self.shared[name]
+
+    def blocks(self) -> DataFrame:
+        """(text_id, block) of all texts."""
+        return self._shared("blocks", lambda: text_blocks(self.kept[0]))
+
+    def postings_by_text(self) -> DataFrame:
+        """(text_id, term, wd), partitioned by text_id."""
+        return self._shared("postings", lambda: self.weights().select("text_id", "term", F.col("weight").alias("wd")))
+
+    def peaks(self) -> DataFrame:
+        """(block, term, wd)."""
+        return self._shared("peaks", lambda: block_peaks(self.postings_by_text(), self.blocks()))
+
+    def tops(self) -> DataFrame:
+        """(term, top, blocks): a term's largest weight and the number of its blocks."""
+        return self._shared("tops", lambda: self.peaks().groupBy("term").agg(F.greatest(F.max("wd"), F.lit(0.0)).alias("top"), F.count(F.lit(1)).alias("blocks")))
+
+    def _written(self, df: DataFrame, label: str) -> DataFrame:
+        table, path = written(df, label)
+        self.files.append(path)
+        return table
+
+    @staticmethod
+    def _exact(pairs: DataFrame, vectors: DataFrame, postings: DataFrame) -> DataFrame:
+        return (pairs.join(vectors.select("qid", "term", "wq"), "qid").join(postings, ["text_id", "term"])
+                .groupBy("qid", "text_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score")))
+
+    @staticmethod
+    def _floors(scored: DataFrame, k: int) -> DataFrame:
+        """(qid, floor): the k-th best of some exact scores, 0 where there are fewer."""
+        return top_k(scored, k, "qid", "text_id").groupBy("qid").agg(
             F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(0.0).alias("floor"))
 
-        weighed = vectors.join(floors, "qid", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
-        frequent_first = Window.partitionBy("qid").orderBy(F.desc("text_df"), "term").rowsBetween(
-            Window.unboundedPreceding, 0)
-        if cosine:
-            # texts have unit length, so a set of terms adds at most the length of its part of the query
-            reach = F.sqrt(F.sum(F.col("wq") * F.col("wq")).over(frequent_first))
-        else:
-            peaks = postings.groupBy("term").agg(F.greatest(F.max("wd"), F.lit(0.0)).alias("peak"))
-            weighed = weighed.join(peaks, "term")
-            reach = F.sum(F.col("wq") * F.col("peak")).over(frequent_first)
-        weighed = weighed.withColumn("reach", reach).withColumn(
-            "needed", F.col("reach") >= F.col("floor") - MARGIN)
-        rest_reach = F.max(F.when(~F.col("needed"), F.col("reach"))).over(Window.partitionBy("qid"))
-        weighed = self._keep(weighed.withColumn("rest", F.coalesce(rest_reach, F.lit(0.0)))
-                             .select("qid", "term", "wq", "floor", "rest", "needed"))
-
-        needed = weighed.filter("needed").drop("needed")
-        pairs = salted_join(postings, needed, "term", "text_id", self._hot_terms(needed), "qid")
-        part = pairs.groupBy("qid", "text_id", "floor", "rest").agg(
-            F.sum(F.col("wq") * F.col("wd")).alias("score"), F.sum(F.col("wd") * F.col("wd")).alias("mass"))
-        left_over = F.sqrt(F.greatest(1 - F.col("mass"), F.lit(0.0))) if cosine else F.lit(1.0)
-        alive = self._keep(part.filter(F.col("score") + F.col("rest") * left_over >= F.col("floor") - MARGIN)
-                           .select("qid", "text_id", "score"))
-        more = (alive.select("qid", "text_id")
-                .join(weighed.filter(~F.col("needed")).select("qid", "term", "wq"), "qid")
-                .join(postings, ["text_id", "term"])
-                .select("qid", "text_id", (F.col("wq") * F.col("wd")).alias("score")))
+    def _seed_floors(self, vectors: DataFrame, postings: DataFrame, k: int) -> DataFrame:
+        """Floors from the postings of each query's rarest terms; where even the rarest is too frequent, from its champions."""
+        rare_first = Window.partitionBy("qid").orderBy("text_df", "term").rowsBetween(Window.unboundedPreceding, 0)
+        seeds = vectors.withColumn("seen", F.sum("text_df").over(rare_first)).withColumn("nth", F.row_number().over(
+            Window.partitionBy("qid").orderBy("text_df", "term")))
+        asked = ["qid", "term", "wq"]
+        by_rare = seeds.filter(F.col("seen") <= SEED_ROWS).select(*asked).join(postings, "term")
+        frequent = seeds.filter((F.col("nth") == 1) & (F.col("seen") > SEED_ROWS)).select(*asked)
+        by_weight = frequent.join(self.champions(postings.join(frequent.select("term").distinct(), "term", "left_semi")), "term")
+        both = by_rare.select("qid", "text_id", "wq", "wd").unionByName(by_weight.select("qid", "text_id", "wq", "wd"))
+        found = top_k(both.groupBy("qid", "text_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score")), SEED_TEXTS * k, "qid", "text_id")
+        return self._floors(self._exact(found.select("qid", "text_id"), vectors, postings), k)
+
+    def _pruned(self, vectors: DataFrame, k: int) -> DataFrame:
+        cosine = self.norms is not None
+        postings, peaks, tops = self.postings_by_text(), self.peaks(), self.tops()
+        asked = self._written(in_bands(vectors, self._seed_floors(vectors, postings, k), tops, cosine), "search-terms")
+
+        # blocks by the terms that are needed, then by all; the best blocks raise the floor for the others
+        needed = asked.filter("band = 0").select("qid", "term", "wq")
+        total = tops.agg(F.sum("blocks")).first()[0] or 0
+        met = salted_join(peaks, needed, "term", "block", hot_keys(tops, "term", "blocks", total, other=needed), "qid")
+        bounds = met.groupBy("qid", "block").agg(F.sum(F.col("wq") * F.col("wd")).alias("bound"))
+        near = self._written(bounds.join(limits(asked), "qid").filter(reaches(F.col("bound"), F.col("after0"))), "search-blocks")
+        near = self._written(tightened(near, asked, peaks), "search-blocks")
+        first = first_blocks(near, BEST_BLOCKS).join(self.blocks(), "block").select("qid", "text_id")
+        better = self._floors(self._exact(first, vectors, postings), k).withColumnRenamed("floor", "better")
+        raised = near.join(better, "qid", "left").withColumn("floor", F.greatest("floor", F.coalesce("better", "floor")))
+        left = raised.filter(reaches(F.col("bound"), 0.0))
+
+        # texts of the blocks that are left: needed terms first, the others for those that can still reach the floor
+        pairs = self._written(left.join(self.blocks(), "block").select("qid", "text_id", "floor", "after0"), "search-pairs")
+        part = (pairs.join(needed, "qid").join(postings, ["text_id", "term"]).groupBy("qid", "text_id", "floor", "after0").agg(
+            F.sum(F.col("wq") * F.col("wd")).alias("score"), F.sum(F.col("wd") * F.col("wd")).alias("mass")))
+        room = F.sqrt(F.greatest(1 - F.col("mass"), F.lit(0.0))) if cosine else F.lit(1.0)
+        alive = self._written(part.filter(reaches(F.col("score"), F.col("after0") * room)).select("qid", "text_id", "score"), "search-texts")
+        more = self._exact(alive.select("qid", "text_id"), asked.filter("band > 0"), postings)
         return alive.unionByName(more).groupBy("qid", "text_id").agg(F.sum("score").alias("score"))

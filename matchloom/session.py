@@ -25,15 +25,21 @@ def local_session(cores: str | int = "*", app: str = "matchloom", memory: str =
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it. Only a local master may do without a name."""
+    """Folder every executor can reach, as the session names it. Only a local master may do without a name."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        named = tempfile.mkdtemp(prefix="matchloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = "file://" + tempfile.mkdtemp(prefix="matchloom-")
+        named = _local[app]
     return named.rstrip("/")
 
 
+#: Folders of local sessions that name none, by application.
+_local: dict[str, str] = {}
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

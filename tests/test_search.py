@@ -142,3 +142,58 @@ def test_salted_join_splits_both_sides(spark):
     assert sorted(map(tuple, got.select("row", "k", "q").collect())) == sorted(map(tuple, left.join(right, "k").select("row", "k", "q").collect()))
     wide = spark.range(200).select(F.array_repeat(F.lit("x" * 1000), 1000).alias("a"))
     assert fits_broadcast(spark.range(10)) and not fits_broadcast(wide)
+
+
+def catalog(n, seed=3):
+    rnd = random.Random(seed)
+    names = [f"{a} {b}" for a in ("steel", "brass", "nylon", "oak") for b in ("bolt", "nut", "hinge", "plate", "rod")]
+    docs = {i: f"{rnd.choice(names)} {rnd.randint(1, 40)}g brand{rnd.randint(1, 15)}" for i in range(n)}
+    queries = {i: f"{rnd.choice(names)} {rnd.randint(1, 40)}g" + rnd.choice(["", f" brand{rnd.randint(1, 15)}", " sortido"]) for i in range(n // 4)}
+    return docs, queries
+
+
+@pytest.mark.parametrize("analyzer, weighting", [("word", "bm25"), ("word", "tfidf"), ("char35", "tfidf")])
+def test_block_maxima_leave_few_pairs_and_the_same_ranking(spark, analyzer, weighting):
+    docs, queries = catalog(1200)
+    d, q = frames(spark, docs, queries)
+    index = SparseIndex.fit(d, analyzer, weighting)
+    counts, write = {}, index._written
+
+    def counting(df, label):
+        out = write(df, label)
+        counts[label] = out.count()
+        return out
+
+    index._written = counting
+    pruned = sorted(map(tuple, index.search(q, 5, pad=True, plan="pruned").collect()))
+    direct = sorted(map(tuple, index.search(q, 5, pad=True, plan="direct").collect()))
+    assert [r[:3] for r in pruned] == [r[:3] for r in direct]
+    assert [r[3] for r in pruned] == pytest.approx([r[3] for r in direct], abs=2e-9)
+    assert counts["search-texts"] <= counts["search-pairs"] < 0.25 * len(set(docs.values())) * len(set(queries.values()))
+    index.release()
+
+
+def test_a_block_bounds_all_its_texts(spark):
+    docs, queries = catalog(300)
+    d, q = frames(spark, docs, queries)
+    index = SparseIndex.fit(d, "word", "bm25")
+    vectors = index.query_vectors(corpus.by_text(corpus.distinct_texts(q, "query_id"))).persist()
+    sums = lambda table, unit: vectors.select("qid", "term", "wq").join(table, "term").groupBy("qid", unit).agg(F.sum(F.col("wq") * F.col("wd")).alias(unit + "_sum"))
+    scored = sums(index.postings_by_text(), "text_id").join(index.blocks(), "text_id")
+    held = scored.join(sums(index.peaks(), "block"), ["qid", "block"])
+    assert held.count() == scored.count() and held.filter("text_id_sum > block_sum + 1e-9").isEmpty()
+    sizes = index.blocks().groupBy("block").count().agg(F.max("count"), F.sum("count")).first()
+    assert sizes[0] == 8 and sizes[1] == len(set(docs.values()))
+    index.release()
+
+
+def test_pruned_search_deletes_its_tables(spark):
+    from pathlib import Path
+    docs, queries = catalog(100)
+    d, q = frames(spark, docs, queries)
+    index = SparseIndex.fit(d, "word", "bm25")
+    index.search(q, 5, plan="pruned").collect()
+    paths = [Path(p.removeprefix("file:")) for p in index.files]
+    assert paths and all(p.exists() for p in paths)
+    index.release()
+    assert not index.files and not any(p.exists() for p in paths)
