@@ -19,6 +19,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
@@ -35,7 +36,8 @@ END_ID = 1
 MEMO, LONG_WORD = 700_000, 64
 BASE = 0xD6E8FEB86659FD93
 BATCH_BYTES = 1 << 19      # texts encoded together
-COMPARED = 1 << 16
+#: By number of bytes, up to eight.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def _kinds() -> np.ndarray:
@@ -70,14 +72,13 @@ class Encoder:
         self.model = Tokenizer.from_file(vocabulary)
         self.merges = self.model.model
         self.width = 2 if max(max(self.model.get_vocab().values()), END_ID) < 1 << 16 else 4
-        self.powers, self.inverses = _powers(BASE), _powers(pow(BASE, -1, 1 << 64))
         self.forget()
 
     def forget(self) -> None:
         #: Two tables, one for most words and one for the latest: sorted hashes, place and number of ids, place and number of bytes.
         self.tables = [self.no_words(), self.no_words()]
         self.ids, self.used = np.empty(1 << 16, f"<u{self.width}"), 0
-        self.letters, self.written = np.empty(1 << 16, np.uint8), 0
+        self.letters, self.written = np.zeros(1 << 16, np.uint8), 0
 
     @staticmethod
     def no_words() -> tuple[np.ndarray, ...]:
@@ -112,8 +113,8 @@ class Encoder:
         self.used += total
         length = np.array([len(w) for w in words])
         of, total = self.written + np.cumsum(length) - length, int(length.sum())
-        while self.written + total > len(self.letters):
-            self.letters = np.concatenate([self.letters, np.empty_like(self.letters)])
+        while self.written + total + 7 > len(self.letters):
+            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
         self.letters[self.written:self.written + total] = np.frombuffer(b"".join(words), np.uint8)
         self.written += total
         main, latest = self.tables
@@ -149,8 +150,6 @@ class Encoder:
 
     def _encode(self, texts: list[bytes]) -> list[bytes] | None:
         raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-        if len(raw) > len(self.powers):
-            self.powers, self.inverses = _powers(BASE, len(raw)), _powers(pow(BASE, -1, 1 << 64), len(raw))
         kind = KINDS[raw]
         shown = kind != 0
         edge = np.flatnonzero(np.diff(shown, prepend=False))
@@ -174,61 +173,73 @@ class Encoder:
         a, b = np.empty(int(parts.sum()), np.int64), np.empty(int(parts.sum()), np.int64)
         a[place], b[place] = start, middle
         a[place[tailed] + 1], b[place[tailed] + 1] = middle[tailed], end[tailed]
-        hashes = self._hashes(low, a, b, self.powers, self.inverses)
+        size = b - a
+        low = np.concatenate([low, np.zeros(7, np.uint8)])
+        hashes = word_hashes(low, a, size)
         order = np.argsort(hashes)
         ranked = hashes[order]
         fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
         own, where, back = ranked[fresh], order[fresh], np.empty(len(order), np.int64)
         back[order] = np.cumsum(fresh) - 1
         of = where[back]                                   # the piece that stands for each piece
-        if not same_bytes(low, a, b - a, low, a[of], (b - a)[of]):
+        if not same_words(low, a, size, low, a[of], size[of]):
             return None
         if self.known_words() > MEMO:
             self.forget()
-        at, size, word, letters = self.find(own)
-        known = size >= 0
-        if not same_bytes(low, a[where[known]], (b - a)[where[known]], self.letters, word[known], letters[known]):
+        at, count, word, letters = self.find(own)
+        known = count >= 0
+        if not same_words(low, a[where[known]], size[where[known]], self.letters, word[known], letters[known]):
             return None
         new = np.flatnonzero(~known)
         if len(new):
             view = low.tobytes()
             self.learn([view[x:y] for x, y in zip(a[where[new]].tolist(), b[where[new]].tolist())], own[new])
-            at, size, _, _ = self.find(own)
-        at, size = at[back], size[back]
-        until = np.cumsum(size)
-        ids = self.ids[np.repeat(at - until + size, size) + np.arange(until[-1])]
+            at, count, _, _ = self.find(own)
+        at, count = at[back], count[back]
+        until = np.cumsum(count)
+        ids = self.ids[np.repeat(at - until + count, count) + np.arange(until[-1])]
         cuts = np.concatenate([[0], until])[np.searchsorted(a, text_at)]
         raw_ids, w = ids.tobytes(), self.width
         return [raw_ids[x * w:y * w] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
-    @staticmethod
-    def _hashes(data: np.ndarray, a: np.ndarray, b: np.ndarray, powers: np.ndarray, inverses: np.ndarray) -> np.ndarray:
-        """Polynomial hash of each data[a:b], from one running sum."""
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:len(data)])])
-        x = (total[b] - total[a]) * inverses[a] + (b - a).astype(np.uint64)
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-        return x ^ (x >> np.uint64(29))
+
+def at_every_byte(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as numbers; no copy. The last seven places have none."""
+    return np.lib.stride_tricks.as_strided(data.view(np.uint8)[:8].view("<u8"), (len(data) - 7,), (1,))
+
+
+def eights(at: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, place, mask) of the first, second, ... eight bytes of those words that have them."""
+    some, done = np.arange(len(at)), 0
+    while len(some):
+        yield some, at[some] + done, MASKS[np.minimum(size[some] - done, 8)]
+        done += 8
+        some = some[size[some] > done]
 
 
-def same_bytes(x: np.ndarray, x_at: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_at: np.ndarray, y_size: np.ndarray) -> bool:
-    """Whether each x[x_at:x_at + x_size] equals its y[y_at:y_at + y_size]; about COMPARED bytes are held at a time."""
+def word_hashes(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hash of each data[at:at + size]. ``data`` goes on for seven bytes after the last word."""
+    view, out = at_every_byte(data), size.astype(np.uint64) * np.uint64(BASE)
+    short = np.flatnonzero(size <= LONG_WORD)
+    for some, place, mask in eights(at[short], size[short]):
+        x = (out[short[some]] ^ (view[place] & mask)) * np.uint64(BASE)
+        out[short[some]] = x ^ (x >> np.uint64(32))
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(data[at[i]:at[i] + size[i]].tobytes())
+    out *= np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(29))
+
+
+def same_words(x: np.ndarray, x_at: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_at: np.ndarray, y_size: np.ndarray) -> bool:
+    """Whether each x[x_at:x_at + x_size] equals its y[y_at:y_at + y_size], byte by byte."""
     if not np.array_equal(x_size, y_size):
         return False
-    until, first = np.cumsum(x_size), 0
-    while first < len(x_size):
-        last = max(first + 1, int(np.searchsorted(until, (until[first - 1] if first else 0) + COMPARED, "right")))
-        size = x_size[first:last]
-        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        if not np.array_equal(x[np.repeat(x_at[first:last], size) + inside], y[np.repeat(y_at[first:last], size) + inside]):
+    one, two = at_every_byte(x), at_every_byte(y)
+    short = np.flatnonzero(x_size <= LONG_WORD)
+    for some, place, mask in eights(x_at[short], x_size[short]):
+        if ((one[place] ^ two[y_at[short[some]] + (place - x_at[short[some]])]) & mask).any():
             return False
-        first = last
-    return True
-
-
-def _powers(base: int, n: int = 5 << 17) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+    return all(np.array_equal(x[x_at[i]:x_at[i] + x_size[i]], y[y_at[i]:y_at[i] + x_size[i]]) for i in np.flatnonzero(x_size > LONG_WORD))
 
 
 def entry_key(key: str | None, nth: int) -> bytes:
