@@ -8,6 +8,7 @@ from matchloom.functions import text as T
 from matchloom.operators import corpus
 from matchloom.operators.dense import dense_top_k, unit_vectors
 from matchloom.operators.evaluate import gold_ranks, metrics
+from matchloom.operators.similar import record_groups, similar_texts
 from matchloom.operators.sparse import SparseIndex
 from matchloom.operators.topk import top_k
 from matchloom.plans import roles as R, shared, sql as S
@@ -81,6 +82,24 @@ def pruned_top5(spark, sf):
         shared.order_texts(spark, sf), 5, plan="pruned"))
 
 
+SIMILAR = 0.8
+
+
+def similar_records(spark, sf):
+    """Pairs of different articles whose word vectors have a cosine of SIMILAR or more."""
+    return _six(similar_texts(shared.article_index(spark, sf, "word", "tfidf"), SIMILAR))
+
+
+def similar_products(spark, sf):
+    """The same for product names with brands: short texts that share most of their words."""
+    return _six(similar_texts(shared.product_index(spark, sf, "word", "tfidf", True), 0.7))
+
+
+def grouped_records(spark, sf):
+    """Every article with the smallest article that copies and similar texts lead to."""
+    return record_groups(R.catalog_texts(R.articles(spark, sf), False), SIMILAR, index=shared.article_index(spark, sf, "word", "tfidf"))
+
+
 def dense_top5(spark, sf):
     v = unit_vectors(R.table(spark, sf, "embeddings"), "embedding")
     return _six(dense_top_k(v.select(C("vec_id").alias("query_id"), C("embedding").alias("vector")),
@@ -150,6 +169,24 @@ _METRICS = """count(*) AS n, round(avg(CASE WHEN rank = 1 THEN 1.0 ELSE 0.0 END)
  round(avg(CASE WHEN rank BETWEEN 1 AND 5 THEN 1.0 / rank ELSE 0.0 END), 6) AS mrr_at_5,
  round(avg(CASE WHEN rank BETWEEN 1 AND 5 THEN 1.0 ELSE 0.0 END), 6) AS r_at_5"""
 
+def _similar_sql(catalog, threshold):
+    """CTEs up to ``links(a, b, score)``: all pairs of distinct texts that share a term, scored without any filter."""
+    return S.scored("word", "tfidf", catalog, "SELECT 0 AS query_id, '' AS norm WHERE false") + f""",
+ t AS (SELECT norm, min(doc_id) AS text_id FROM cat GROUP BY norm),
+ v AS MATERIALIZED (SELECT text_id, term, w / len AS w FROM t JOIN dw ON dw.doc_id = text_id JOIN dn ON dn.doc_id = text_id),
+ links AS MATERIALIZED (SELECT * FROM (SELECT x.text_id AS a, y.text_id AS b, round(sum(x.w * y.w), 9) AS score
+  FROM v x JOIN v y ON x.term = y.term AND x.text_id < y.text_id GROUP BY ALL) WHERE score >= {threshold})"""
+
+
+def _grouped_sql(catalog, threshold):
+    return _similar_sql(catalog, threshold).replace("WITH ", "WITH RECURSIVE ", 1) + """,
+ edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+ walk(node, root) AS (SELECT a, a FROM edges UNION SELECT w.node, e.b FROM walk w JOIN edges e ON e.a = w.root),
+ roots AS (SELECT node, min(root) AS root FROM walk GROUP BY node)
+ SELECT cat.doc_id, coalesce(root, text_id) AS group_id, (SELECT count(*) FROM edges WHERE a = text_id) AS similar
+ FROM cat JOIN t USING (norm) LEFT JOIN roots ON node = text_id"""
+
+
 A, P, PB, O, B = S.ARTICLE_TEXTS, S.PRODUCT_TEXTS, S.PRODUCT_BRAND_TEXTS, S.ORDER_TEXTS, S.PASSAGE_TEXTS
 
 QUERIES: dict = {
@@ -181,6 +218,9 @@ QUERIES: dict = {
  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM
  ({_DENSE.format('SELECT vec_id, embedding AS v FROM embeddings')})) WHERE rank <= 5"""),
     "dense_grid": (dense_grid, _dense_grid_sql()),
+    "similar_records": (similar_records, _similar_sql(A, SIMILAR) + " SELECT a, b, round(score, 6) AS score FROM links"),
+    "similar_products": (similar_products, _similar_sql(PB, 0.7) + " SELECT a, b, round(score, 6) AS score FROM links"),
+    "grouped_records": (grouped_records, _grouped_sql(A, SIMILAR)),
 }
 
 
