@@ -31,29 +31,35 @@ def block_peaks(postings: DataFrame, places: DataFrame) -> DataFrame:
     return postings.join(places, "text_id").groupBy("block", "term").agg(F.max("wd").alias("wd"))
 
 
-def in_bands(vectors: DataFrame, floors: DataFrame, tops: DataFrame, cosine: bool) -> DataFrame:
-    """(qid, term, wq, band, floor, after): ``after`` bounds what the terms of all later bands add to a text's score.
+def in_bands(vectors: DataFrame, floors: DataFrame, tops: DataFrame) -> DataFrame:
+    """(qid, term, wq, cosine, band, floor, after, length): ``after`` bounds what the terms of all later bands add to a text's
+    score, and ``length`` is that of their part of the query, under the cosine.
 
-    Texts have unit length under the cosine, so a set of terms adds at most the length of its part of the query; under BM25
-    it adds at most the sum of the terms' largest weights (``tops``: term, top).
+    A set of terms adds at most the sum of their largest weights (``tops``: term, top); under the cosine texts have unit length, so
+    it adds no more than the length of its part of the query either.
     """
     weighed = (vectors.join(floors, "qid", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
                .join(tops, "term").withColumn("most", F.col("wq") * F.col("top")))
+
     def reach(over):
-        return F.sqrt(F.sum(F.col("wq") * F.col("wq")).over(over)) if cosine else F.sum("most").over(over)
+        sums, length = F.sum("most").over(over), F.sqrt(F.sum(F.col("wq") * F.col("wq")).over(over))
+        return F.when(F.col("cosine"), F.least(sums, length)).otherwise(sums)
 
     frequent_first = Window.partitionBy("qid").orderBy(F.desc("text_df"), "term").rowsBetween(Window.unboundedPreceding, 0)
     split = weighed.withColumn("needed", reach(frequent_first) >= F.col("floor") - MARGIN)
     place = F.row_number().over(Window.partitionBy("qid", "needed").orderBy(F.desc("most"), "term"))
     banded = split.withColumn("place", place).withColumn("band", F.when(F.col("needed"), 0).when(F.col("place") <= SECOND_BAND, 1).otherwise(2))
     later = Window.partitionBy("qid").orderBy(F.desc("band")).rangeBetween(Window.unboundedPreceding, -1)
-    return banded.withColumn("after", F.coalesce(reach(later), F.lit(0.0))).select("qid", "term", "wq", "band", "floor", "after")
+    length = F.when(F.col("cosine"), F.sqrt(F.sum(F.col("wq") * F.col("wq")).over(later)))
+    return banded.withColumn("after", F.coalesce(reach(later), F.lit(0.0))).withColumn("length", F.coalesce(length, F.lit(0.0))).select(
+        "qid", "term", "wq", "cosine", "band", "floor", "after", "length")
 
 
 def limits(asked: DataFrame) -> DataFrame:
-    """(qid, floor, after0, after1): what may still come after each band but the last."""
+    """(qid, cosine, floor, after0, after1, length0): what may still come after each band but the last."""
     after = [F.coalesce(F.max(F.when(F.col("band") == b, F.col("after"))), F.lit(0.0)).alias(f"after{b}") for b in range(BANDS - 1)]
-    return asked.groupBy("qid").agg(F.max("floor").alias("floor"), *after)
+    length = F.coalesce(F.max(F.when(F.col("band") == 0, F.col("length"))), F.lit(0.0)).alias("length0")
+    return asked.groupBy("qid", "cosine").agg(F.max("floor").alias("floor"), *after, length)
 
 
 def reaches(bound: Column, after: Column | float) -> Column:
@@ -61,7 +67,7 @@ def reaches(bound: Column, after: Column | float) -> Column:
 
 
 def tightened(blocks: DataFrame, asked: DataFrame, peaks: DataFrame) -> DataFrame:
-    """Blocks (qid, block, bound, floor, after0, after1) that still reach their floor when all bands are counted."""
+    """Blocks (qid, block, bound and limits) that still reach their floor when all bands are counted."""
     for band in range(1, BANDS):
         more = (blocks.select("qid", "block").join(asked.filter(F.col("band") == band).select("qid", "term", "wq"), "qid")
                 .join(peaks, ["block", "term"]).groupBy("qid", "block").agg(F.sum(F.col("wq") * F.col("wd")).alias("more")))

@@ -37,9 +37,9 @@ def by_text(texts: DataFrame) -> DataFrame:
     return texts.repartition(partitions(texts.sparkSession), "text_id")
 
 
-def term_counts(texts: DataFrame, analyzer: str) -> DataFrame:
-    """(text_id, copies, words, term, tf). ``texts`` comes from :func:`by_text`."""
-    keys = ["text_id", "copies", "words"]
+def term_counts(texts: DataFrame, analyzer: str, more: list[str] | None = None) -> DataFrame:
+    """(text_id, copies, words, term, tf). ``texts`` comes from :func:`by_text`; ``more`` names further columns of the key."""
+    keys = ["text_id", "copies", "words", *(more or [])]
     filled = texts.filter(F.col("norm") != "")
     if analyzer == CHAR:
         return char_counts(word_counts(filled, keys), keys)

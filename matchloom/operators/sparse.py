@@ -50,9 +50,16 @@ def tfidf_vocabulary(df_table: DataFrame, n: int) -> DataFrame:
 
 
 def bm25_vocabulary(df_table: DataFrame, n: int, mean_raw: float) -> DataFrame:
+    return df_table.withColumn("idf", replaced_idf(bm25_raw_idf(F.lit(float(n)), F.col("df")), F.lit(mean_raw)))
+
+
+def replaced_idf(raw: Column, mean_raw: Column) -> Column:
     """Negative idf values are replaced by a quarter of the mean over the vocabulary, negatives included."""
-    raw = bm25_raw_idf(F.lit(float(n)), F.col("df"))
-    return df_table.withColumn("idf", F.when(raw < 0, F.lit(EPSILON * mean_raw)).otherwise(raw))
+    return F.when(raw < 0, EPSILON * mean_raw).otherwise(raw)
+
+
+def bm25_weight(tf: Column, idf: Column, words: Column, mean_words: Column) -> Column:
+    return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * words / mean_words))
 
 
 @dataclass
@@ -135,8 +142,7 @@ class SparseIndex:
         tf, idf = F.col("tf"), F.col("idf")
         if self.weighting == "tfidf":
             return tf * idf
-        damp = tf + K1 * (1 - B + B * F.col("words") / F.lit(self.mean_words))
-        return idf * tf * (K1 + 1) / damp
+        return bm25_weight(tf, idf, F.col("words"), F.lit(self.mean_words))
 
     def weights(self) -> DataFrame:
         """(text_id, copies, term, weight) of every posting."""
@@ -162,6 +168,10 @@ class SparseIndex:
         length = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("qid")))
         return joined.select("qid", "term", (raw / length).alias("wq"), "idf", "text_df")
 
+    def texts_in_order(self) -> DataFrame:
+        """(text_id, norm) of all texts; their order decides which share a block."""
+        return self.kept[0].select("text_id", "norm")
+
     # ------------------------------------------------------------ search
     def search(self, queries: DataFrame, k: int = 5, pad: bool = False, plan: str = "auto") -> DataFrame:
         """``queries``: query_id, norm. Returns query_id, rank, doc_id, score (nine digits)."""
@@ -249,7 +259,7 @@ class SparseIndex:
 
     def blocks(self) -> DataFrame:
         """(text_id, block) of all texts."""
-        return self._shared("blocks", lambda: text_blocks(self.kept[0]))
+        return self._shared("blocks", lambda: text_blocks(self.texts_in_order()))
 
     def postings_by_text(self) -> DataFrame:
         """(text_id, term, wd), partitioned by text_id."""
@@ -293,9 +303,10 @@ class SparseIndex:
         return self._floors(self._exact(found.select("qid", "text_id"), vectors, postings), k)
 
     def _pruned(self, vectors: DataFrame, k: int) -> DataFrame:
-        cosine = self.norms is not None
+        if "cosine" not in vectors.columns:
+            vectors = vectors.withColumn("cosine", F.lit(self.norms is not None))
         postings, peaks, tops = self.postings_by_text(), self.peaks(), self.tops()
-        asked = self._written(in_bands(vectors, self._seed_floors(vectors, postings, k), tops, cosine), "search-terms")
+        asked = self._written(in_bands(vectors, self._seed_floors(vectors, postings, k), tops), "search-terms")
 
         # blocks by the terms that are needed, then by all; the best blocks raise the floor for the others
         needed = asked.filter("band = 0").select("qid", "term", "wq")
@@ -310,10 +321,11 @@ class SparseIndex:
         left = raised.filter(reaches(F.col("bound"), 0.0))
 
         # texts of the blocks that are left: needed terms first, the others for those that can still reach the floor
-        pairs = self._written(left.join(self.blocks(), "block").select("qid", "text_id", "floor", "after0"), "search-pairs")
-        part = (pairs.join(needed, "qid").join(postings, ["text_id", "term"]).groupBy("qid", "text_id", "floor", "after0").agg(
+        pairs = self._written(left.join(self.blocks(), "block").select("qid", "text_id", "cosine", "floor", "after0", "length0"), "search-pairs")
+        part = (pairs.join(needed, "qid").join(postings, ["text_id", "term"]).groupBy("qid", "text_id", "cosine", "floor", "after0", "length0").agg(
             F.sum(F.col("wq") * F.col("wd")).alias("score"), F.sum(F.col("wd") * F.col("wd")).alias("mass")))
-        room = F.sqrt(F.greatest(1 - F.col("mass"), F.lit(0.0))) if cosine else F.lit(1.0)
-        alive = self._written(part.filter(reaches(F.col("score"), F.col("after0") * room)).select("qid", "text_id", "score"), "search-texts")
+        # of a unit vector, only what its joined terms leave can meet the rest of the query
+        rest = F.when(F.col("cosine"), F.least("after0", F.col("length0") * F.sqrt(F.greatest(1 - F.col("mass"), F.lit(0.0))))).otherwise(F.col("after0"))
+        alive = self._written(part.filter(reaches(F.col("score"), rest)).select("qid", "text_id", "score"), "search-texts")
         more = self._exact(alive.select("qid", "text_id"), asked.filter("band > 0"), postings)
         return alive.unionByName(more).groupBy("qid", "text_id").agg(F.sum("score").alias("score"))

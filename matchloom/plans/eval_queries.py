@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from matchloom.functions import text as T
 from matchloom.operators import compare, evaluate as E, nomatch as N, profile as P, rerank as RR
+from matchloom.operators.grid import Configuration, GridIndex, grid_ranks
+from matchloom.operators.storage import written
 from matchloom.plans import roles as R, shared, sql as S
 
 C = F.col
@@ -33,20 +35,18 @@ def predictions_wide(spark, sf):
     return E.wide_predictions(ranks, tops, R.products(spark, sf), R.orders(spark, sf))
 
 
-_GRID_SCHEMA = "family string, config string, split string, n long, p_at_1 double, mrr_at_5 double, r_at_5 double"
-
-
 def _grid(spark, sf):
-    """Metrics of every configuration on both splits. Each configuration is scored once and released; what is kept of it
-    is one row per split."""
-    def build():
-        rows = []
-        for config, (family, analyzer, weighting, brand) in shared.GRID.items():
-            with shared.fitted(spark, sf, analyzer, weighting, brand) as index:
-                ranks = E.gold_ranks(_gold(spark, sf), index.search(shared.order_texts(spark, sf), pad=True), "split")
-                rows += [(family, config, *r) for r in E.metrics(ranks, "split").select("split", "n", "p_at_1", "mrr_at_5", "r_at_5").collect()]
-        return rows
-    return spark.createDataFrame(shared._once(spark, (sf, "grid"), build), _GRID_SCHEMA)
+    """Metrics of every configuration on both splits: one index and one ranking for the whole grid, read from the tables
+    each time. What stays is a written table of one row per configuration and split."""
+    products = R.products(spark, sf)
+    families = F.create_map(*[F.lit(x) for name, how in shared.GRID.items() for x in (name, how[0])])
+    index = GridIndex.fit_all({"name": R.catalog_texts(products, False), "name+brand": R.catalog_texts(products, True)},
+                              [Configuration(name, "name+brand" if brand else "name", analyzer, weighting) for name, (_, analyzer, weighting, brand) in shared.GRID.items()])
+    ranked = index.search(shared.order_texts(spark, sf), pad=True)
+    scores = E.metrics(grid_ranks(index, _gold(spark, sf), ranked, "split").withColumn("family", families[C("config")]), "family", "config", "split")
+    table, _ = written(scores, "grid-metrics")
+    index.release()
+    return table
 
 
 def leaderboard(spark, sf):
@@ -54,13 +54,17 @@ def leaderboard(spark, sf):
 
 
 def best_configs(spark, sf):
-    return E.best_configs(leaderboard(spark, sf)).select("family", "config", "p_at_1")
+    return _best(_grid(spark, sf))
+
+
+def _best(grid):
+    return E.best_configs(grid.filter("split = 'val'")).select("family", "config", "p_at_1")
 
 
 def frozen_eval(spark, sf):
     """Configurations chosen on one split, measured once on the other."""
-    chosen = best_configs(spark, sf).select("family", "config")
-    return _grid(spark, sf).filter("split = 'test'").drop("split").join(chosen, ["family", "config"], "left_semi")
+    grid = _grid(spark, sf)
+    return grid.filter("split = 'test'").drop("split").join(_best(grid).select("family", "config"), ["family", "config"], "left_semi")
 
 
 # ------------------------------------------------------------------ comparison

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from matchloom.operators.evaluate import gold_ranks
@@ -43,16 +41,6 @@ def forget() -> None:
     _held.clear()
 
 
-@contextmanager
-def fitted(spark: SparkSession, sf: str, analyzer: str, weighting: str, brand: bool):
-    """An index for one use; everything it holds is released afterwards."""
-    index = SparseIndex.fit(R.catalog_texts(R.products(spark, sf), brand), analyzer, weighting)
-    try:
-        yield index
-    finally:
-        index.release()
-
-
 def product_index(spark: SparkSession, sf: str, analyzer: str, weighting: str, brand: bool) -> SparseIndex:
     return _once(spark, (sf, "products", analyzer, weighting, brand), lambda: SparseIndex.fit(
         R.catalog_texts(R.products(spark, sf), brand), analyzer, weighting))
