@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -82,6 +83,37 @@ def test_suffix_dedup_null_key_and_repeats(spark):
     assert rows == [(False, 5, 0), (False, 5, 0), (False, 7, len(text)), (True, None, len(text))]
 
 
+def test_suffix_dedup_one_passage_in_many_segments(spark):
+    rng = random.Random(12)
+    passage = "".join(rng.choices("abcdefgh ", k=140))
+    rows = [(i, prose(100 + i, rng.randint(1, 9)) + passage[rng.randint(0, 20):140 - rng.randint(0, 20)] + prose(500 + i, 6)) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for group_bytes in (2000, 0):
+        work = suffix_dedup.RepeatedStrings(df, group_bytes=group_bytes)
+        assert as_dict(work.remove().drop("kept"), "key") == brute.repeated_strings(rows)
+        work.release()
+
+
+def test_suffix_dedup_long_and_periodic_texts(spark):
+    long = prose(1, 30_000)
+    rows = [(1, long), (2, "x " + long[5000:150_000]), (3, "ab" * 3000), (4, "q" + "ab" * 1500 + "z"), (5, "a" * 5000), (6, "a" * 70 + "b"), (7, long[-60:] + "ab" * 40)]
+    assert len(long) > suffix_dedup.PIECE_BYTES
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for group_bytes in (suffix_dedup.GROUP_BYTES, 0):
+        assert as_dict(suffix_dedup.RepeatedStrings(df, group_bytes=group_bytes).remove().drop("kept"), "key") == brute.repeated_strings(rows)
+
+
+def test_suffix_dedup_many_documents_without_a_key(spark):
+    texts = [prose(s, 30) for s in range(20)]
+    df = spark.createDataFrame([(None, t) for t in texts + texts[:5]] + [(3, texts[7] + " and more")], "doc_id long, text string")
+    work = suffix_dedup.RepeatedStrings(df)
+    rows = {(r.key, r.n_bytes, r.n_removed) for r in work.remove().collect()}
+    assert {r for r in rows if r[2]} == {(None, len(texts[7]), len(texts[7]))} and len(rows) > 15
+    paths = [*work.paths, work.path]
+    work.release()
+    assert not [p for p in paths if Path(p.removeprefix("file:")).exists()] and not spark.catalog.tableExists(work.table)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_merged_transforms_find_repeated_windows(seed):
     rng = random.Random(seed)
