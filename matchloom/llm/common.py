@@ -5,13 +5,14 @@ from __future__ import annotations
 import ctypes
 import string
 import sys
-import tempfile
 import types
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from matchloom.session import shared_dir
+
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 1_000_000
@@ -37,20 +38,6 @@ def split_words(text: Column, separators: str = SPACE) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), separators), lambda w: w != "")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it.
-
-    Only a local master, whose tasks run on this machine, may fall back to a temporary folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="matchloom-llm-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
@@ -82,6 +69,24 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+class Tables:
+    """Written tables of one run, each deleted as soon as its last reader has written its own."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.held = spark, {}
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch(self.spark, label)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.held[id(out)] = out, path
+        return out
+
+    def discard(self, *tables: DataFrame) -> None:
+        for one in tables:
+            discard(self.spark, self.held.pop(id(one))[1])
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps now; it acts when the driver has collected them."""
     spark.sparkContext._jvm.System.gc()

@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from matchloom.llm.common import fold_ascii, fresh, give_back, let, release_shuffles, split_words, stored, table
+from matchloom.llm.common import Tables, fold_ascii, fresh, give_back, let, release_shuffles, split_words, stored, table
 from matchloom.llm.components import components
 
 MINIMA, ROWS, BATCH = 128, 4, 32
@@ -203,6 +203,7 @@ class NearDuplicates:
 
     def __init__(self, docs: DataFrame, span: int = 5, percent: int = PERCENT, text: str = "text", key: str = "doc_id"):
         self.spark, self.span, self.percent = docs.sparkSession, span, percent
+        self.tables = Tables(self.spark)
         self.limits = least_matches(percent / 100, minima=self.minima)
         self.minima_bytes = self.minima * np.dtype(self.code).itemsize
         body = F.coalesce(F.col(text), F.lit(""))
@@ -222,26 +223,27 @@ class NearDuplicates:
                  .agg(F.min("doc").alias("doc"), F.first("minima").alias("minima"), F.first("n_shingles").alias("n_shingles")))
         return rows, stored(nodes, "nodes")
 
-    def members(self, nodes: DataFrame) -> DataFrame:
-        """(bucket, node, low, members) of all buckets with several nodes."""
+    def members(self, nodes: DataFrame) -> list[DataFrame]:
+        """(bucket, node, low, more) of all buckets with several nodes, in slices; ``more``: with three and more."""
         width = np.dtype(self.code).itemsize * self.band_rows
         bands, parts = self.minima // self.band_rows, []
         for first in range(0, bands, bands // self.slices):
             numbers = F.sequence(F.lit(first), F.lit(min(first + bands // self.slices, bands) - 1))
             members = nodes.select(F.explode(F.transform(numbers, lambda band: F.xxhash64(
                 band, F.substring("minima", band * width + 1, F.lit(width))))).alias("bucket"), "node")
-            shared = (members.groupBy("bucket").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("members"))
-                      .filter("members > 1"))
-            parts.append(stored(members.join(stored(shared, "buckets"), "bucket"), "members"))
+            shared = self.tables.stored(members.groupBy("bucket").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("members"))
+                                        .filter("members > 1").select("bucket", "low", (F.col("members") > 2).alias("more")), "buckets")
+            parts.append(self.tables.stored(members.join(shared, "bucket"), "members"))
+            self.tables.discard(shared)
             if self.slices > 1:
                 release_shuffles(self.spark)
-        return reduce(DataFrame.unionByName, parts)
+        return parts
 
     def likely(self, stars: DataFrame, nodes: DataFrame) -> DataFrame:
         """The pairs (a, b) whose signatures survive."""
         left = nodes.select(F.col("node").alias("a"), F.col("minima").alias("left"))
         right = nodes.select(F.col("node").alias("b"), F.col("minima").alias("right"))
-        return stored(stars.join(right, "b").join(left, "a").filter(_likely(self.limits, self.code)("left", "right")).select("a", "b"), "likely")
+        return self.tables.stored(stars.join(right, "b").join(left, "a").filter(_likely(self.limits, self.code)("left", "right")).select("a", "b"), "likely")
 
     def in_cells(self, rows: DataFrame, keys: list[str]) -> DataFrame:
         """Links (a, b) found in the cells named by ``keys``."""
@@ -251,15 +253,18 @@ class NearDuplicates:
 
     def clouds(self, nodes: DataFrame) -> DataFrame:
         """(node, root): groups such that every likely pair of a bucket lies inside one."""
-        members = self.members(nodes)
+        parts = self.members(nodes)
+        members = reduce(DataFrame.unionByName, parts)
         stars = members.filter("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-        roots = components(self.likely(stars, nodes))
-        more = stored(self.crossing(members, roots, nodes), "crossing")
+        likely = self.likely(stars, nodes)
+        roots = components(likely)
+        more = self.tables.stored(self.crossing(members, roots, nodes), "crossing")
+        self.tables.discard(likely, *parts)
         return roots if more.isEmpty() else components(more, roots)
 
     def crossing(self, members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
         """Likely pairs across clouds in buckets of three or more nodes; the smallest node is done already."""
-        others = (members.filter("members > 2 AND node != low").select("bucket", "node").join(roots, "node", "left")
+        others = (members.filter("more AND node != low").select("bucket", "node").join(roots, "node", "left")
                   .withColumn("root", F.coalesce("root", "node")))
         counts = others.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
         several = (counts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("major"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("roots"))
@@ -291,12 +296,14 @@ class NearDuplicates:
         placed = inside.join(sizes, "cloud").select("node", "doc", "minima", "cloud", "blocks")
         sets = (self.with_bodies(placed)
                 .dropDuplicates(["node"]).select("node", "minima", "cloud", "blocks", self.shingles().alias("shingles")))
-        sets = stored(sets, "sets")
+        sets = self.tables.stored(sets, "sets")
         block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         blocks = sets.select("cloud", block.alias("i"), F.lit(True).alias("right"), "node", F.col("node").alias("root"), "minima", "shingles")
         large = sets.filter("blocks > 1")
         if large.isEmpty():
-            return components(stored(self.in_cells(blocks, ["cloud", "i"]), "links"))
+            links = stored(self.in_cells(blocks, ["cloud", "i"]), "links")
+            self.tables.discard(sets)
+            return components(links)
         first = stored(self.in_cells(blocks.unionByName(self.pivots(large)), ["cloud", "i"]), "links")
         roots = components(first)
         known = (large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
@@ -305,7 +312,9 @@ class NearDuplicates:
                    .filter("roots > 1").select("cloud", F.col("major.root").alias("major"), (F.col("major.n") / F.col("all")).alias("share")))
         open_ = (known.join(several, "cloud").withColumn("columns", F.col("blocks"))
                  .withColumn("lines", F.greatest(F.lit(1), F.ceil(F.col("blocks") * (1 - F.col("share")))).cast("int")))
-        return components(stored(self.in_cells(self.minor_by_all(open_, "cloud"), ["cloud", "i", "j"]), "links"), roots)
+        links = stored(self.in_cells(self.minor_by_all(open_, "cloud"), ["cloud", "i", "j"]), "links")
+        self.tables.discard(sets)
+        return components(links, roots)
 
     def pivots(self, large: DataFrame) -> DataFrame:
         """The first PIVOTS nodes of each cut cloud, for each of its other blocks."""
