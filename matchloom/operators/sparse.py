@@ -24,6 +24,7 @@ from matchloom.operators import corpus
 from matchloom.operators.blockmax import block_peaks, first_blocks, in_bands, limits, reaches, text_blocks, tightened
 from matchloom.operators.joins import (
     BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, hot_keys, lookup, salted_join)
+from matchloom.operators.places import RANGE_PLACES, free_places
 from matchloom.operators.storage import discard, written
 from matchloom.operators.topk import TIE_DIGITS, pad_zero, top_k
 from matchloom.sources.records import number_rows
@@ -81,6 +82,7 @@ class SparseIndex:
     copies: dict[int, DataFrame] = field(default_factory=dict)      # by k: text_id, doc_id of its k lowest copies
     shared: dict[str, DataFrame] = field(default_factory=dict)      # what all searches use: postings, blocks, maxima
     files: list[str] = field(default_factory=list)                  # written tables of searches
+    range_places: int = RANGE_PLACES
 
     @classmethod
     def fit(cls, docs: DataFrame, analyzer: str, weighting: str) -> "SparseIndex":
@@ -227,8 +229,9 @@ class SparseIndex:
     def _unscored(self, asked: DataFrame, best: DataFrame, scored: DataFrame, k: int) -> DataFrame:
         """The k lowest documents at score 0 for queries with fewer than k positive ones.
 
-        Documents have consecutive places in order of their id. The j-th free place of a query is j plus the number of
-        taken places (score not 0) with at most j free ones before them.
+        Documents have consecutive places in order of their id, and places lie in ranges of RANGE_PLACES. Where a query has few taken
+        places (score not 0) per range, counts alone tell the range in which its j-th free place lies, and only the taken
+        places of such ranges are looked at one by one.
         """
         positive = best.filter("score > 0").groupBy("qid").agg(F.count(F.lit(1)).alias("have"))
         short = asked.join(positive, "qid", "left").filter(F.coalesce("have", F.lit(0)) < k).select("qid")
@@ -237,14 +240,8 @@ class SparseIndex:
         of_text = places.select(F.sha2("norm", 256).alias("text_key"), "place", "doc_id")
         texts = of_text.groupBy("text_key").agg(F.min("doc_id").alias("text_id"))
         taken = (scored.withColumn("score", F.round("score", TIE_DIGITS)).filter("score <> 0").join(short, "qid", "left_semi")
-                 .join(texts, "text_id").join(of_text.select("text_key", "place"), "text_key"))
-        order = Window.partitionBy("qid").orderBy("place")
-        gaps = (taken.select("qid", (F.col("place") - F.row_number().over(order) + 1).cast("int").alias("free")).filter(F.col("free") < k)
-                .groupBy("qid").agg(F.collect_list("free").alias("free")))
-        free = (short.join(gaps, "qid", "left")
-                .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-                .withColumn("free", F.coalesce("free", F.array().cast("array<int>")))
-                .select("qid", (F.col("j") + F.size(F.filter("free", lambda f: f <= F.col("j")))).cast("long").alias("place")))
+                 .join(texts, "text_id").join(of_text.select("text_key", "place"), "text_key").select("qid", "place"))
+        free = free_places(self._written(taken, "taken-places"), short, k, self.range_places, self.n_docs)
         return free.join(places.select("place", "doc_id"), "place").select("qid", "doc_id", F.lit(0.0).alias("score"))
 
     def champions(self, postings: DataFrame) -> DataFrame:

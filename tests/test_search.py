@@ -197,3 +197,36 @@ def test_pruned_search_deletes_its_tables(spark):
     assert paths and all(p.exists() for p in paths)
     index.release()
     assert not index.files and not any(p.exists() for p in paths)
+
+
+@pytest.mark.parametrize("size", [1, 4, 64])
+def test_free_places_by_rank_and_select(spark, size):
+    from matchloom.operators.places import free_places
+    rnd = random.Random(size)
+    n, taken = 300, {q: set() for q in range(12)}
+    for q in taken:
+        taken[q] |= set(range(rnd.choice([0, 0, 7, 64, 128, 290]))) | set(rnd.sample(range(n), rnd.choice([0, 3, 40, 200])))
+    taken[12] = set(range(n))
+    taken[13] = set(range(64, 192))
+    rows = spark.createDataFrame([(q, p) for q, own in taken.items() for p in own], "qid long, place long")
+    asked = spark.createDataFrame([(q,) for q in taken], "qid long")
+    for k in (1, 5, 100):
+        got = {}
+        for r in free_places(rows, asked, k, size, n).collect():
+            got.setdefault(r.qid, set()).add(r.place)
+        assert got == {q: set([p for p in range(n) if p not in own][:k]) for q, own in taken.items() if len(own) < n}
+
+
+def test_padding_under_a_negative_floor_looks_at_no_list_of_places(spark):
+    docs = {i: "p q" for i in range(200)} | {i: "z" for i in range(200, 260)}
+    d, q = frames(spark, docs, {1: "p", 2: "z", 3: "p z", 4: "other"})
+    index = SparseIndex.fit(d, "word", "bm25")
+    index.range_places = 16
+    got = {}
+    for r in index.search(q, 5, pad=True).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.doc_id)
+    assert got[1] == list(range(200, 205)) and got[4] == list(range(5))
+    plan = index._unscored(spark.createDataFrame([(0,)], "qid long"), spark.createDataFrame([], "qid long, score double"),
+                           spark.createDataFrame([(0, 0, -1.0)], "qid long, text_id long, score double"), 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    index.release()
