@@ -252,6 +252,19 @@ def incremental_match(spark, sf):
     return _six(spark.read.parquet(f"{home}/out").select("query_id", "rank", "doc_id", "score"))
 
 
+def stored_index_top5(spark, sf):
+    """The product index written to bucketed tables, opened again and searched."""
+    import uuid
+
+    from matchloom.operators.stored_index import open_index, save
+    from matchloom.session import shared_dir
+
+    path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+    save(shared.product_index(spark, sf, "word", "bm25", True), path)
+    return _six(open_index(spark, path).search(shared.order_texts(spark, sf), 5, pad=True))
+
+
+QUERIES["stored_index_top5"] = (stored_index_top5, QUERIES["bm25_products"][1])
 QUERIES["bm25_negative"] = (bm25_negative, _top_sql("word", "bm25", """SELECT p_partkey AS doc_id,
  CASE WHEN p_partkey % 4 = 0 THEN lower(p_type) ELSE 'item of gr ' || lower(p_type) END AS norm FROM part""",
  """SELECT n_nationkey::BIGINT AS query_id, CASE n_regionkey % 3 WHEN 0 THEN 'item economy' WHEN 1 THEN 'item gr'
