@@ -8,11 +8,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from matchloom.operators.storage import discard, written
 from matchloom.operators.topk import TIE_DIGITS, top_k
 
 BLOCK_BYTES = 32 << 20     # vectors of one document block
 QUERY_ROWS = 256           # queries multiplied at once
 TASK_ROWS = 256            # fewer documents are not worth a block of their own
+CENTRES, CELL_ROWS = 1024, 128
+ANGLE_MARGIN = 1e-6        # far above the rounding noise of an angle
 
 
 def unit_vectors(df: DataFrame, vector: str) -> DataFrame:
@@ -22,26 +25,28 @@ def unit_vectors(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumn(vector, F.when(length == 0, v).otherwise(F.transform(v, lambda x: x / length)))
 
 
-def document_blocks(docs: DataFrame, block_bytes: int) -> int:
-    """Blocks that fit a task, whatever the table; small tables are cut finer to use the cores at hand."""
-    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("values")).first()
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    return max(1, -(-size["values"] * 8 // block_bytes), min(cores, size["rows"] // TASK_ROWS))
-
-
-def dense_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def dense_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, block_bytes: int = BLOCK_BYTES, plan: str = "auto") -> DataFrame:
     """``queries``: query_id, vector; ``docs``: doc_id, vector; both of unit length.
 
-    A document moves once, to its block; the queries stream past every block in batches, and a block hands on k rows
-    per query, never the score matrix.
+    A catalog of one block's size is cut over the cores and every query meets it whole. Larger ones are cut into cells of
+    neighbouring vectors, and a query goes only to cells that can hold one of its k best (``plan``: "whole" or "cells").
     """
-    blocks = document_blocks(docs, block_bytes)
-    query_type, doc_type = queries.schema["query_id"].dataType.simpleString(), docs.schema["doc_id"].dataType.simpleString()
-    placed = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asked"),
-                         F.lit(None).cast(query_type).alias("query_id"), "doc_id", "vector")
-    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asked"),
-                           "query_id", F.lit(None).cast(doc_type).alias("doc_id"), "vector")
-    rows = placed.unionByName(asked).repartition(blocks, "block").sortWithinPartitions("block", "asked", "doc_id")
+    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("values")).first()
+    if plan == "cells" or (plan == "auto" and size["values"] * 8 > block_bytes):
+        return Cells(docs, size["rows"], size["values"] * 8, block_bytes).search(queries, k)
+    blocks = max(1, -(-size["values"] * 8 // block_bytes), min(docs.sparkSession.sparkContext.defaultParallelism, size["rows"] // TASK_ROWS))
+    placed = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "vector")
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "query_id", "vector")
+    return top_k(met(asked, placed, k, blocks), k)
+
+
+def met(asked: DataFrame, placed: DataFrame, k: int, tasks: int | None = None) -> DataFrame:
+    """(query_id, doc_id, score): the k best of each block for each query that goes there. ``asked``: block, query_id, vector;
+    ``placed``: block, doc_id, vector. A block's documents come before its queries, which stream past them in batches."""
+    query_type, doc_type = asked.schema["query_id"].dataType.simpleString(), placed.schema["doc_id"].dataType.simpleString()
+    rows = placed.select("block", F.lit(False).alias("asked"), F.lit(None).cast(query_type).alias("query_id"), "doc_id", "vector").unionByName(
+        asked.select("block", F.lit(True).alias("asked"), "query_id", F.lit(None).cast(doc_type).alias("doc_id"), "vector"))
+    dealt = rows.repartition(tasks, "block") if tasks else rows.repartition("block")
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, ids, parts, matrix = None, [], [], None
@@ -65,4 +70,86 @@ def dense_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, block_bytes: in
                                         "doc_id": names[order.ravel()],
                                         "score": np.take_along_axis(scores, order, axis=1).ravel()})
 
-    return top_k(rows.mapInPandas(best, f"query_id {query_type}, doc_id {doc_type}, score double"), k)
+    return dealt.sortWithinPartitions("block", "asked", "doc_id").mapInPandas(best, f"query_id {query_type}, doc_id {doc_type}, score double")
+
+
+class Cells:
+    """A catalog in cells of neighbouring vectors, each with its centre and radius.
+
+    Centres are a bounded sample of the catalog (at most CENTRES vectors, those of smallest id hash); every vector belongs to its
+    nearest centre. No vector of a cell is nearer to a query than the angle to the centre less the radius. A query first meets the cells
+    of highest bound that hold k vectors; with the k-th score found there, it meets those others whose bound reaches it. The rest
+    is skipped, and skipping loses nothing. A cell above the block size is cut into parts, so no task holds more.
+    """
+
+    def __init__(self, docs: DataFrame, rows: int, size: int, block_bytes: int = BLOCK_BYTES, centres: int = CENTRES):
+        self.spark, self.tables = docs.sparkSession, []
+        wanted = max(1, min(centres, rows // CELL_ROWS))
+        sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(wanted).select("vector").collect()
+        self.centres = np.array([r["vector"] for r in sample], float)
+        kind, centre = docs.schema["doc_id"].dataType.simpleString(), self.centres
+
+        def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    near = np.stack(batch["vector"]) @ centre.T
+                    yield batch.assign(cell=near.argmax(axis=1).astype(np.int32), near=near.max(axis=1))
+
+        self.placed = self.keep(docs.select("doc_id", F.col("vector").cast("array<double>").alias("vector")).mapInPandas(
+            assign, f"doc_id {kind}, vector array<double>, cell int, near double"), "dense-cells")
+        found = {r.cell: r for r in self.placed.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.min("near").alias("near")).collect()}  # one per centre
+        self.rows = np.array([found[c].rows if c in found else 0 for c in range(len(sample))], int)
+        self.radius = np.array([np.arccos(np.clip(found[c].near, -1, 1)) if c in found else 0.0 for c in range(len(sample))])
+        width = -(-size // max(rows, 1))
+        self.parts = np.maximum(1, -(-self.rows * width // block_bytes)).astype(int)
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        table, path = written(df, label)
+        self.tables.append(path)
+        return table
+
+    def release(self) -> None:
+        while self.tables:
+            discard(self.spark, self.tables.pop())
+
+    def visits(self, queries: DataFrame, k: int) -> DataFrame:
+        """(query_id, cell, vector). ``queries``: query_id, vector, and floor: null for the first visits, else the score to
+        reach in the cells that the first visits left out."""
+        centres, rows, radius = self.centres, self.rows, self.radius
+
+        def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                angle = np.arccos(np.clip(np.stack(batch["vector"]) @ centres.T, -1, 1))
+                bound = np.where(rows > 0, np.cos(np.maximum(angle - radius, 0)), -2.0)
+                order = np.argsort(-bound, axis=1, kind="stable")
+                before = np.cumsum(rows[order], axis=1) - rows[order]          # vectors in the cells of higher bound
+                first = (before < k) & (rows[order] > 0)
+                floor = batch["floor"].to_numpy(float)
+                later = ~first & (rows[order] > 0) & (np.take_along_axis(bound, order, axis=1) >= floor[:, None] - ANGLE_MARGIN)
+                at, cell = np.nonzero(np.where(np.isnan(floor)[:, None], first, later))
+                if not len(at):
+                    continue
+                yield pd.DataFrame({"query_id": batch["query_id"].to_numpy()[at], "cell": order[at, cell].astype(np.int32),
+                                    "vector": [batch["vector"].iloc[i] for i in at]})
+
+        kind = queries.schema["query_id"].dataType.simpleString()
+        return queries.select("query_id", F.col("vector").cast("array<double>").alias("vector"), "floor").mapInPandas(
+            choose, f"query_id {kind}, cell int, vector array<double>")
+
+    def scored(self, visits: DataFrame, k: int) -> DataFrame:
+        parts = F.array(*[F.lit(int(p)) for p in self.parts])
+        own = F.pmod(F.xxhash64("doc_id"), F.get(parts, F.col("cell"))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.get(parts, F.col("cell")) - 1))
+        number = F.concat_ws("-", "cell", "part")
+        return met(visits.withColumn("part", every).select(number.alias("block"), "query_id", "vector"),
+                   self.placed.withColumn("part", own).select(number.alias("block"), "doc_id", "vector"), k)
+
+    def search(self, queries: DataFrame, k: int) -> DataFrame:
+        if not len(self.centres):                              # an empty catalog
+            return top_k(self.placed.select(F.lit(None).cast(queries.schema["query_id"].dataType).alias("query_id"), "doc_id", F.lit(0.0).alias("score")), k)
+        first = self.keep(top_k(self.scored(self.visits(queries.withColumn("floor", F.lit(None).cast("double")), k), k), k), "dense-first")
+        floors = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(-2.0).alias("floor"))
+        again = self.visits(queries.join(floors, "query_id"), k)
+        return top_k(first.drop("rank").unionByName(self.scored(again, k)), k)

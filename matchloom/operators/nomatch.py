@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from matchloom.functions import text as T
-from matchloom.operators.joins import lookup
+from matchloom.operators.joins import fits_broadcast, hot_keys, lookup, salted_join
 
 TERM_LETTERS, MIN_TOKENS, SAMPLE = 5, 3, 25
 BIN = 10_000
@@ -103,6 +103,16 @@ def abstention_summary(per_query: DataFrame) -> DataFrame:
         F.count_if("hit").alias("hits"), F.count_if(~F.col("abstained")).alias("answered"))
 
 
+def combined_flags(flagged: DataFrame, abstained: DataFrame) -> DataFrame:
+    """(query_id, grp, low_score, abstained, no_match): both signs of a query without a match in one row. A query that only one
+    side knows counts by that side; it has no match if the score is low and the service, where it was asked, abstained."""
+    low = flagged.select("query_id", "grp", F.col("no_match").alias("low_score"))
+    said = abstained.select("query_id", F.col("grp").alias("asked_grp"), "abstained")
+    return (low.join(said, "query_id", "full").select(
+        "query_id", F.coalesce("grp", "asked_grp").alias("grp"), "low_score", "abstained",
+        (F.coalesce("low_score", F.lit(True)) & F.coalesce("abstained", F.lit(True))).alias("no_match")))
+
+
 def keyword_rows(catalog: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
     """Catalog rows whose lower-case name holds a key; one pass for all keys."""
     found = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), F.lit(title).alias("title")) for k, title in keys]),
@@ -110,6 +120,32 @@ def keyword_rows(catalog: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
     return catalog.select("doc_id", "name", F.inline(found))
 
 
+ANCHOR = 3                 # characters of a key that its rows are found by
+
+
+def keyword_join(catalog: DataFrame, keys: DataFrame) -> DataFrame:
+    """(doc_id, name, key, title): catalog rows whose lower-case name holds a key of the table ``keys`` (key, title).
+
+    Every key is looked up by its rarest run of ANCHOR characters (a shorter key by itself): rows and keys meet on equal runs, and
+    ``contains`` confirms them. Only runs of some key leave the names, so the index of names is never built.
+    """
+    def runs(text, n):
+        return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))        # one pass, overlaps included
+
+    known = keys.filter("key IS NOT NULL AND key <> ''").distinct()
+    parts = known.select("key", "title", F.explode(F.when(F.length("key") < ANCHOR, F.array("key")).otherwise(runs(F.col("key"), ANCHOR))).alias("run"))
+    lower = catalog.select("doc_id", "name", F.lower("name").alias("lower"))
+    lengths = [r.n for r in parts.select(F.length("run").alias("n")).distinct().collect()]                 # at most ANCHOR of them
+    every = F.flatten(F.array(*[runs(F.col("lower"), n) for n in sorted(lengths)])) if lengths else F.array().cast("array<string>")
+    wanted = parts.select("run").distinct()
+    found = lower.select("doc_id", F.explode(every).alias("run")).join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "run")
+    counts = found.groupBy("run").agg(F.count(F.lit(1)).alias("rows"))
+    rare = parts.join(counts, "run").groupBy("key", "title").agg(F.min_by("run", F.struct("rows", "run")).alias("run"))
+    hot = hot_keys(counts, "run", "rows", counts.agg(F.sum("rows")).first()[0] or 0)
+    met = salted_join(found, rare, "run", "doc_id", hot)
+    return (met.join(lower, "doc_id").filter(F.contains("lower", F.col("key"))).select("doc_id", "name", "key", "title"))
+
+
 def unsure(ranked: DataFrame, gap: float) -> DataFrame:
     """Queries whose first two scores lie close together: worth sending to the reranker."""
     pair = ranked.filter("rank <= 2").groupBy("query_id").agg(

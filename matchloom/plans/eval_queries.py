@@ -11,8 +11,10 @@ from matchloom.operators.storage import written
 from matchloom.plans import roles as R, shared, sql as S
 
 C = F.col
-#: What is known of each system besides its ranks: effort, kind of index, whether it needs vectors.
-SYSTEM_NOTES = [("tfidf_char", "low", "character n-grams", False), ("tfidf_word", "low", "words", False), ("bm25", "low", "words and lengths", False)]
+#: What is known of each system besides its ranks: published seconds for an index and 250 queries, US dollars for these, effort, kind
+#: of index, whether it needs vectors (fixed values).
+SYSTEM_NOTES = [("tfidf_char", 1.3, 0.0, "low", "character n-grams", False), ("tfidf_word", 0.16, 0.0, "low", "words", False),
+                ("bm25", 4.6, 0.0, "low", "words and lengths", False)]
 FEW_SHOT = 'Example: "STEEL BOLT 14 GR CX 12X14 GR", first candidate of another size -> {"ranking": [2, 1, 3]}'
 
 
@@ -70,7 +72,7 @@ def frozen_eval(spark, sf):
 # ------------------------------------------------------------------ comparison
 def system_compare(spark, sf):
     """Stored ranks of all systems, joined with the table of what is known about them besides."""
-    notes = spark.createDataFrame(SYSTEM_NOTES, "system string, complexity string, index_kind string, vectors boolean")
+    notes = spark.createDataFrame(SYSTEM_NOTES, "system string, seconds double, cost double, complexity string, index_kind string, vectors boolean")
     return E.metrics(shared.system_ranks(spark, sf), "system").join(notes, "system", "left")
 
 
@@ -310,6 +312,23 @@ def keyword_lookup(spark, sf):
     return N.keyword_rows(R.products(spark, sf), [("anvil", "anvils"), ("red", "red products"), ("rod 1", "small rods")])
 
 
+def keyword_table(spark, sf):
+    """Articles that hold one of the catalog's brands or product types as a word of their text; the keys come from a table."""
+    parts = R.table(spark, sf, "part")
+    keys = parts.select(F.lower(F.substring_index("p_name", " ", 1)).alias("key"), F.lit("first word").alias("title")).unionByName(
+        R.table(spark, sf, "nation").select(F.lower("n_name").alias("key"), F.lit("nation").alias("title"))).unionByName(
+        R.table(spark, sf, "benchmark").select(F.lower(F.substring("text", 1, 12)).alias("key"), F.lit("benchmark").alias("title"))).unionByName(
+        parts.select(F.lower(F.substring("p_type", 1, 2)).alias("key"), F.lit("short").alias("title"))).distinct()
+    rows = N.keyword_join(R.products(spark, sf), keys).select("doc_id", "key", "title").unionByName(
+        N.keyword_join(R.articles(spark, sf), keys.filter("title <> 'short'")).select("doc_id", "key", "title"))
+    return rows.groupBy("key", "title").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first"), F.sum("doc_id").alias("ids"))
+
+
+def combined_flags(spark, sf):
+    """Low score and abstention of every query in one row."""
+    return N.combined_flags(_flagged(spark, sf), _abstention_rows(spark, sf))
+
+
 def unsure_queries(spark, sf):
     return N.unsure(shared.order_ranking(spark, sf, "char35", "tfidf", False), 0.02).select(
         "query_id", F.round("first", 6).alias("first"), F.round("second", 6).alias("second"))
@@ -431,8 +450,8 @@ QUERIES: dict = {
     "best_configs": (best_configs, f"WITH {_GRID}, {_BEST} SELECT * FROM best"),
     "frozen_eval": (frozen_eval, f"""WITH {_GRID}, {_BEST} SELECT family, config, {_METRICS} FROM gr
  WHERE split = 'test' AND config IN (SELECT config FROM best) GROUP BY family, config"""),
-    "system_compare": (system_compare, f"""WITH {_SYS}, notes(system, complexity, index_kind, vectors) AS (VALUES {', '.join(map(str, SYSTEM_NOTES))}),
- m AS (SELECT system, {_METRICS} FROM sr GROUP BY system) SELECT m.*, complexity, index_kind, vectors FROM m LEFT JOIN notes USING (system)"""),
+    "system_compare": (system_compare, f"""WITH {_SYS}, notes(system, seconds, cost, complexity, index_kind, vectors) AS (VALUES {', '.join(map(str, SYSTEM_NOTES))}),
+ m AS (SELECT system, {_METRICS} FROM sr GROUP BY system) SELECT m.*, seconds::DOUBLE AS seconds, cost::DOUBLE AS cost, complexity, index_kind, vectors FROM m LEFT JOIN notes USING (system)"""),
     "query_segments": (query_segments, f"SELECT query_id, unnest(s) AS segment FROM ({_SEGMENTS})"),
     "segment_scores": (segment_scores, f"""WITH {_SYS}, sg AS (SELECT query_id, unnest(s) AS segment FROM ({_SEGMENTS}))
  SELECT segment, count(DISTINCT query_id) AS n, """ + ", ".join(
@@ -489,6 +508,16 @@ QUERIES: dict = {
     "keyword_lookup": (keyword_lookup, " UNION ALL ".join(
         f"SELECT doc_id, name, '{k}' AS key, '{t}' AS title FROM ({S.PRODUCTS}) WHERE contains(lower(name), '{k}')"
         for k, t in (("anvil", "anvils"), ("red", "red products"), ("rod 1", "small rods")))),
+    "keyword_table": (keyword_table, f"""WITH keys AS (SELECT DISTINCT lower(split_part(p_name, ' ', 1)) AS key, 'first word' AS title FROM part
+ UNION SELECT lower(n_name), 'nation' FROM nation UNION SELECT lower(substring(text, 1, 12)), 'benchmark' FROM benchmark
+ UNION SELECT lower(substring(p_type, 1, 2)), 'short' FROM part),
+ hits AS (SELECT doc_id, key, title FROM ({S.PRODUCTS}), keys WHERE contains(lower(name), key)
+  UNION ALL SELECT doc_id, key, title FROM ({S.ARTICLES}), keys WHERE title <> 'short' AND contains(lower(name), key))
+ SELECT key, title, count(*) AS rows, min(doc_id) AS first, sum(doc_id)::BIGINT AS ids FROM hits GROUP BY ALL"""),
+    "combined_flags": (combined_flags, f"""WITH {_TOPS}, {_ABST.removeprefix(f"{_OOV}, {_UNMATCHED}, ")},
+ fl AS (SELECT query_id, grp, score < score_limit AS low_score FROM tops, lim)
+ SELECT coalesce(fl.query_id, ab.query_id) AS query_id, coalesce(fl.grp, ab.grp) AS grp, low_score, abstained,
+ coalesce(low_score, TRUE) AND coalesce(abstained, TRUE) AS no_match FROM fl FULL JOIN ab ON fl.query_id = ab.query_id"""),
     "unsure_queries": (unsure_queries, f"""SELECT query_id, round(a, 6) AS first, round(b, 6) AS second FROM (SELECT query_id,
  max(score) FILTER (WHERE rank = 1) AS a, max(score) FILTER (WHERE rank = 2) AS b FROM {_tops_sql(('char35', 'tfidf', False))} GROUP BY query_id)
  WHERE a - b < 0.02"""),
