@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -25,29 +27,37 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from matchloom.llm.binfiles import read_files, write_files
-from matchloom.llm.common import scratch, table
+from matchloom.llm.common import exists, scratch, table
 
 MIN_SHARED = 1000
 ARCHIVE_BYTES = 32 << 20
-RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
+RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10                 # a range, and about what a reading task gets; a gap that is read over
 WRITTEN = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END_MARK = "\x00"                                          # zero bytes after the last gzip member are padding
+URL_ENCODED = "X-Target-URI-Encoding"
 INDEX_SCHEMA = "key string, offset long, length long, url string, digest string, type string"
 
 
+def encoded(text: str) -> str:
+    """A header value without blanks and control characters; ``unquote`` gives the text back."""
+    return "".join(c if c > " " and c not in "\x7f%" else f"%{ord(c):02X}" for c in text)
+
+
 def record(key: str | None, url: str | None, payload: bytes, digest: str, original: str | None) -> bytes:
     """One WARC record as a gzip member."""
-    clean = lambda s: "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in s)
     revisit = original is not None
     head = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Date", WRITTEN), ("WARC-Payload-Digest", f"sha1:{digest}"),
             ("WARC-Payload-Length", str(len(payload)))]
     if key is not None:
-        head.append(("WARC-Record-ID", f"<urn:page:{clean(key)}>"))
+        head.append(("WARC-Record-ID", f"<urn:page:{encoded(key)}>"))
     if url is not None:
-        head.append(("WARC-Target-URI", clean(url)))
+        plain = not re.search(r"[\x00-\x20\x7f]", url)         # a proper url stands as it is, with its own percent signs
+        head.append(("WARC-Target-URI", url if plain else encoded(url)))
+        if not plain:
+            head.append((URL_ENCODED, "percent"))
     if revisit:
-        head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{clean(original)}>")]
+        head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{encoded(original)}>")]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if revisit else http + payload
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
@@ -109,6 +119,8 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """key, offset, length, url, digest, type of every record, and the archive file that holds it."""
+    if not exists(spark, f"{path}/kind=index"):             # an empty table has written no archive
+        return spark.createDataFrame([], "archive string, file string, " + INDEX_SCHEMA)
     lines = (spark.read.option("recursiveFileLookup", "false").text(f"{path}/kind=index")
              .select("archive", F.from_json(F.rtrim("value", F.lit(END_MARK)), INDEX_SCHEMA).alias("entry")).filter("entry IS NOT NULL"))
     files = read_files(spark, f"{path}/kind=warc").select("archive", F.col("path").alias("file"))
@@ -144,14 +156,17 @@ def read_records(selected: DataFrame) -> DataFrame:
                     kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
                     if kind == "response" and (hashlib.sha1(payload).hexdigest() != digest or len(payload) != int(fields["WARC-Payload-Length"])):
                         raise ValueError("a payload does not match its digest")
-                    named = lambda field: fields[field][len("<urn:page:"):-1] if field in fields else None
-                    out.append((named("WARC-Record-ID"), fields.get("WARC-Target-URI"), payload if kind == "response" else None,
+                    named = lambda field: unquote(fields[field][len("<urn:page:"):-1]) if field in fields else None
+                    link = fields.get("WARC-Target-URI")
+                    out.append((named("WARC-Record-ID"), unquote(link) if URL_ENCODED in fields else link, payload if kind == "response" else None,
                                 int(fields["WARC-Payload-Length"]), digest, kind, named("WARC-Refers-To")))
                 kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                                  ["key", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    spread = ranges(selected).repartition("file", "start")
+    # a row of a range weighs nothing, so the number of tasks follows from the bytes that the rows stand for
+    size = selected.agg(F.sum("length")).first()[0] or 0
+    spread = ranges(selected).repartition(max(1, -(-size // RANGE_BYTES)), "file", "start")
     return spread.mapInArrow(read, "key string, url string, payload binary, payload_bytes long, payload_digest string, "
                                    "record_type string, refers_to string")
 
@@ -159,10 +174,6 @@ def read_records(selected: DataFrame) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, path = table(spark, sf_dir, "pages"), scratch(spark, "warc")
     kind = pages.schema["page_id"].dataType
-    if pages.isEmpty():
-        empty = pages.select("page_id", F.lit(0).cast("long").alias("payload_bytes"), F.lit("").alias("payload_digest"),
-                             F.lit("").alias("record_type"), F.col("page_id").alias("refers_to"))
-        return empty.limit(0)
     write_archives(pages, path)
     return read_records(read_index(spark, path)).select(
         F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
