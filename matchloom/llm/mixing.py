@@ -7,8 +7,8 @@ its two halves by drawing exactly half of its units without replacement, which i
 hypergeometric distribution; its leaves are the output shards. Each shard then takes the next units of every
 source's permutation, so shards are disjoint, and orders its rows by a hash.
 
-Only DataFrame operations. Documents are shuffled once, by (source, block); everything else works on one row per
-block or per source, whatever the number of documents.
+Only DataFrame operations. Everything but the mix itself works on one row per block or per source, whatever the number of
+documents; documents are shuffled once, to their shards.
 
 Defined results: null or blank text has size 0; a null source is a source of its own, the last. Rows that repeat
 a document are mixed like other rows. Empty input gives an empty mix.
@@ -18,12 +18,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from matchloom.llm.common import NOT_SPACE, fresh, table
+from matchloom.llm.common import NOT_SPACE, broadcast_if_small, stored, table
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
 BLOCKS = 256               # blocks per source: the finest share of a source that is drawn or left
-LEVELS = 6                 # 2 ** LEVELS output shards
+LEVELS = 6                 # 2 ** LEVELS output shards at least
+SHARD_WORDS = 1 << 24
 SEED = 20
 
 
@@ -69,7 +70,7 @@ def block_units(blocks: DataFrame, targets: DataFrame) -> DataFrame:
     state = F.struct(F.lit(0).cast("long").alias("words"), F.array().cast("array<int>").alias("taken"))
 
     def step(kept: Column, b: Column) -> Column:
-        fits = kept["words"] + b["words"] <= F.col("rest")
+        fits = (b["words"] > 0) & (kept["words"] + b["words"] <= F.col("rest"))            # blocks without words have had their passes
         return F.when(fits, F.struct((kept["words"] + b["words"]).alias("words"),
                                      F.concat(kept["taken"], F.array(b["block"])).alias("taken"))).otherwise(kept)
 
@@ -78,7 +79,7 @@ def block_units(blocks: DataFrame, targets: DataFrame) -> DataFrame:
              .withColumn("rest", F.col("target") - F.col("passes") * F.col("size"))
              .withColumn("part", F.aggregate("blocks", state, step))
              .withColumn("over", F.array_min(F.transform(
-                 F.filter("blocks", lambda b: ~F.array_contains(F.col("part.taken"), b["block"])),
+                 F.filter("blocks", lambda b: (b["words"] > 0) & ~F.array_contains(F.col("part.taken"), b["block"])),
                  lambda b: F.struct(b["words"], b["block"]))))
              .withColumn("taken", F.when(F.col("over.words") - (F.col("rest") - F.col("part.words"))
                                          < F.col("rest") - F.col("part.words"),
@@ -106,9 +107,11 @@ def split_quotas(quotas: DataFrame, levels: int = LEVELS) -> DataFrame:
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
-        keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+        keep: list[str] | None = None, levels: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Plan a mix. Returns (the input with size, target and draws, the targets per source).
 
+    The mix has 2^``levels`` shards; without a number, as many as keep a shard near SHARD_WORDS words, and 2^LEVELS at least.
+
     ``draws`` is an array of (shard, pass), one entry for each time the mix takes the row: none to CAP.
     The input's columns, or those named by ``keep``, come back in a struct ``row``.
     """
@@ -116,10 +119,14 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     sized = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(source).cast("string").alias("source"),
                         word_count(F.col(text)).alias("words"),
                         F.pmod(draw(F.lit("doc"), F.col(key)), F.lit(BLOCKS)).cast("int").alias("block"))
-    blocks = sized.groupBy("source", "block").agg(F.sum("words").alias("words"))
+    # at most BLOCKS rows per source, written once: targets, draws and shards all come from here
+    blocks = stored(sized.groupBy("source", "block").agg(F.sum("words").alias("words")), "mix-blocks")
+    if levels is None:
+        words = blocks.agg(F.sum("words")).first()[0] or 0
+        levels = max(LEVELS, (words // SHARD_WORDS).bit_length())
     targets = source_targets(blocks.groupBy("source").agg(F.sum("words").alias("size")))
     units = block_units(blocks, targets)
-    leaves = split_quotas(units.groupBy("source").agg(F.count(F.lit(1)).alias("quota")))
+    leaves = split_quotas(units.groupBy("source").agg(F.count(F.lit(1)).alias("quota")), levels)
     first = F.coalesce(F.sum("quota").over(names), F.lit(0))
     dealt = (leaves.withColumn("first", first.cast("int"))
              .select(F.col("source").alias("of"), "shard",
@@ -130,15 +137,15 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
             .join(plan.alias("p"), F.col("b.source").eqNullSafe(F.col("p.source")) & (F.col("b.block") == F.col("p.block")), "left")
             .join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")))
             .select(F.col("b.source").alias("of"), F.col("b.block").alias("in_block"), "size", "target", "draws"))
-    mixed = (sized.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in_block")))
+    mixed = (sized.join(broadcast_if_small(plan), F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in_block")))
              .select("row", F.col("words").alias("size"), F.col("size").alias("source_size"), "target",
                      F.coalesce("draws", F.array().cast("array<struct<shard:int,pass:int>>")).alias("draws")))
     return mixed, targets
 
 
-def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", levels: int | None = None) -> DataFrame:
     """The mix itself: each row as often as it is drawn, shards together, in random order within a shard."""
-    mixed, _ = mix(docs, text, source, key)
+    mixed, _ = mix(docs, text, source, key, levels=levels)
     drawn = mixed.select("row", F.explode("draws").alias("draw"))
     return (drawn.repartition("draw.shard")
             .sortWithinPartitions("draw.shard", draw(F.lit("row"), f"row.{key}", "draw.pass")).select("row.*"))

@@ -160,3 +160,72 @@ def test_source_mix_writes_each_document_as_often_as_it_is_drawn(spark):
     longest = {s: max(n for d, n in sizes.items() if source[d] == s) for s in whole}
     for name, target in brute.targets(whole).items():
         assert abs(taken[name] - target) <= longest[name]
+
+
+# ------------------------------------------------------------------ 4
+def test_archives_give_back_every_key_and_url(spark):
+    from matchloom.llm import warc
+    from matchloom.llm.common import scratch
+    big = "<p>" + prose(3, 400)
+    keys = ["a b", "a%20b", "u\n2", "u%0A2", "é ☃", "", None, "z", "z", "%"]
+    urls = ["http://x/a b", "http://x/a%20b", "u\n2", None, "", "http://é/%", "u%0A2", "http://x/\x85 ", " ", "\x7f"]
+    rows = [(k, u, big if i % 2 else f"<p>{i}") for i, (k, u) in enumerate(zip(keys, urls))]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    path = scratch(spark, "warc")
+    warc.write_archives(df, path)
+    out = warc.read_records(warc.read_index(spark, path)).collect()
+    assert sorted([(r.key, r.url) for r in out], key=str) == sorted(zip(keys, urls), key=str)
+    shared = {(r.key, r.record_type, r.refers_to) for r in out if r.payload_bytes >= warc.MIN_SHARED}
+    best = max(k for k, _, h in rows if h == big and k is not None)
+    assert shared == {(k, *(("response", None) if k == best else ("revisit", best))) for k, _, h in rows if h == big}
+
+
+def test_archives_of_no_page(spark):
+    from matchloom.llm import warc
+    from matchloom.llm.common import scratch
+    path = scratch(spark, "warc")
+    warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
+    assert warc.read_index(spark, path).count() == 0 and warc.read_records(warc.read_index(spark, path)).count() == 0
+
+
+def test_pages_that_repeat_the_largest_key_are_all_responses(spark):
+    from matchloom.llm import warc
+    from matchloom.llm.common import scratch
+    big, path = "x" * 1200, scratch(spark, "warc")
+    warc.write_archives(spark.createDataFrame([(1, "a", big), (7, "b", big), (7, "c", big), (None, "d", big)], "page_id long, url string, html string"), path)
+    out = {(r.url, r.record_type, r.refers_to) for r in warc.read_records(warc.read_index(spark, path)).collect()}
+    assert out == {("a", "revisit", "7"), ("b", "response", None), ("c", "response", None), ("d", "revisit", "7")}
+
+
+def test_ranges_are_read_by_as_many_tasks_as_their_bytes_ask_for(spark, monkeypatch):
+    from matchloom.llm import warc
+    from matchloom.llm.common import scratch
+    path = scratch(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{SF}/pages.parquet"), path)
+    monkeypatch.setattr(warc, "RANGE_BYTES", 20_000)
+    records = warc.read_records(warc.read_index(spark, path))
+    size = warc.read_index(spark, path).agg(F.sum("length")).first()[0]
+    assert records.rdd.getNumPartitions() == -(-size // 20_000) > 1
+    assert records.count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+
+
+# ------------------------------------------------------------------ 10
+def test_rows_without_words_are_drawn_as_often_as_their_source_at_most(spark):
+    from matchloom.llm import mixing
+    rows = [(i, "a" if i < 20 else "b", " " if i % 5 == 0 else prose(i, 30 if i < 20 else 400)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    mixed, targets = mixing.mix(df)
+    assert {r.source: r.target / r["size"] for r in targets.collect()}["a"] == 3          # capped
+    assert max(r.n for r in mixed.select(F.size("draws").alias("n")).collect()) == 3
+    assert max(r["count"] for r in mixing.mixed_rows(df).groupBy("doc_id").count().collect()) == 3
+
+
+def test_shards_are_a_parameter_and_follow_the_words(spark, monkeypatch):
+    from matchloom.llm import mixing
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    shards = lambda mixed: mixed.select(F.explode("draws").alias("d")).select("d.shard").distinct().count()
+    taken = lambda mixed: sorted((r.row.doc_id, r.n) for r in mixed.select("row", F.size("draws").alias("n")).collect())
+    few, usual = mixing.mix(df, levels=2)[0], mixing.mix(df)[0]
+    assert shards(few) == 4 and shards(usual) == 64 and taken(few) == taken(usual)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 400)
+    assert shards(mixing.mix(df)[0]) > 100
