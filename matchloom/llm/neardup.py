@@ -235,8 +235,7 @@ class NearDuplicates:
                                         .filter("members > 1").select("bucket", "low", (F.col("members") > 2).alias("more")), "buckets")
             parts.append(self.tables.stored(members.join(shared, "bucket"), "members"))
             self.tables.discard(shared)
-            if self.slices > 1:
-                release_shuffles(self.spark)
+            self.settle()
         return parts
 
     def likely(self, stars: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -245,6 +244,11 @@ class NearDuplicates:
         right = nodes.select(F.col("node").alias("b"), F.col("minima").alias("right"))
         return self.tables.stored(stars.join(right, "b").join(left, "a").filter(_likely(self.limits, self.code)("left", "right")).select("a", "b"), "likely")
 
+    def settle(self) -> None:
+        """Between large steps, where bands come in slices to spare disk."""
+        if self.slices > 1:
+            release_shuffles(self.spark)
+
     def in_cells(self, rows: DataFrame, keys: list[str]) -> DataFrame:
         """Links (a, b) found in the cells named by ``keys``."""
         sets = ["shingles"] if "shingles" in rows.columns else []
@@ -260,6 +264,7 @@ class NearDuplicates:
         roots = components(likely)
         more = self.tables.stored(self.crossing(members, roots, nodes), "crossing")
         self.tables.discard(likely, *parts)
+        self.settle()
         return roots if more.isEmpty() else components(more, roots)
 
     def crossing(self, members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -297,6 +302,7 @@ class NearDuplicates:
         sets = (self.with_bodies(placed)
                 .dropDuplicates(["node"]).select("node", "minima", "cloud", "blocks", self.shingles().alias("shingles")))
         sets = self.tables.stored(sets, "sets")
+        self.settle()
         block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         blocks = sets.select("cloud", block.alias("i"), F.lit(True).alias("right"), "node", F.col("node").alias("root"), "minima", "shingles")
         large = sets.filter("blocks > 1")
