@@ -117,3 +117,10 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression for the unsigned CRC-32 of an ASCII text; the polynomial is the usual one, reflected."""
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)), "
+            f"lambda h, b: list_reduce(list_prepend(xor(h, b), range(8)), lambda c, i: {step})), 4294967295)")

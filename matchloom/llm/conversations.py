@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from matchloom.llm.common import stored, table
+from matchloom.llm.common import crc32_sql, stored, table
 
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
 #: The pattern's states: 0 nothing yet, S after s, U after u, A after a; steps by initial.
@@ -405,4 +405,42 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(damaged(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
 
 
-QUERIES = {"op12_conversation_repair": (op12_conversation_repair, None)}
+#: The same by dynamic programming over rows and states, least (cost, audit) first.
+SQL = f"""WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {crc32_sql("concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))")} % 20 AS kind FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM c),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+  sha256(concat(length(role)::VARCHAR, chr(0), role, chr(0), text)), copy) AS n, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown FROM damaged),
+faults AS MATERIALIZED (SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+  WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+steps(p, i, q) AS (VALUES ('0', 's', 'S'), ('0', 'u', 'U'), ('S', 'u', 'U'), ('U', 'a', 'A'), ('A', 'u', 'U')),
+inserted(p, q, cost, audit) AS (VALUES ('0', '0', 0, ''), ('S', 'S', 0, ''), ('U', 'U', 0, ''), ('A', 'A', 0, ''), ('0', 'U', 5, 'I'),
+  ('S', 'U', 5, 'I'), ('U', 'A', 5, 'I'), ('A', 'U', 5, 'I'), ('0', 'A', 10, 'II'), ('S', 'A', 10, 'II')),
+edits AS (SELECT q AS p, q, 2 AS cost, 'D' AS audit, NULL AS initial, FALSE AS kept FROM (SELECT DISTINCT q FROM inserted)
+  UNION ALL SELECT p, q, 0, 'K', i, TRUE FROM steps UNION ALL SELECT p, q, 1, 'R', NULL, TRUE FROM steps WHERE i <> 's'),
+best(conv_id, n, q, cost, audit) AS (SELECT conv_id, 0, q, cost::BIGINT, audit FROM (SELECT DISTINCT conv_id FROM conversations), inserted WHERE p = '0'
+  UNION ALL SELECT conv_id, n, q, least.cost, least.audit FROM (
+    SELECT b.conv_id, b.n + 1 AS n, i.q, min({{'cost': b.cost + e.cost + CASE WHEN e.kept AND f.fault = 'truncated' THEN 5 ELSE 0 END + i.cost,
+      'audit': b.audit || e.audit || i.audit}}) AS least
+    FROM best b JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.n = b.n + 1 JOIN edits e ON e.p = b.q
+      AND (e.initial IS NULL OR e.initial = left(f.role, 1)) AND NOT (e.kept AND f.fault IN ('blank', 'duplicate')) JOIN inserted i ON i.p = e.q
+    GROUP BY b.conv_id, b.n, i.q)),
+ended AS (SELECT conv_id, min({{'cost': cost, 'audit': audit}}) AS least FROM best WHERE q IN ('0', 'A')
+  AND n = (SELECT count(*) FROM faults f WHERE f.conv_id IS NOT DISTINCT FROM best.conv_id) GROUP BY conv_id),
+letters AS (SELECT conv_id, unnest(string_split(least.audit, '')) AS edit, generate_subscripts(string_split(least.audit, ''), 1) AS pos FROM ended WHERE least.audit <> ''),
+numbered AS (SELECT *, count(*) FILTER (WHERE edit <> 'I') OVER w AS n, count(*) FILTER (WHERE edit <> 'D') OVER w AS no FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+kept AS (SELECT k.conv_id, pos, edit, no, role, text, max(CASE WHEN no = 1 AND edit = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY k.conv_id) AS headed
+  FROM numbered k LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM k.conv_id AND f.n = k.n AND edit <> 'I' WHERE edit <> 'D'),
+repaired AS (SELECT conv_id, string_agg(concat(CASE WHEN edit = 'K' THEN role WHEN (no - headed) % 2 = 1 THEN 'user' ELSE 'assistant' END, ':', coalesce(text, '')),
+  chr(10) ORDER BY pos) AS whole FROM kept GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+  count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+  count(*) FILTER (WHERE before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM faults) GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, least.cost AS cost, least.audit AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+QUERIES = {"op12_conversation_repair": (op12_conversation_repair, SQL)}

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from matchloom.llm.common import stored, table
+from matchloom.llm.common import crc32_sql, stored, table
 
 FANOUT, BLOCK_LEVELS = 3, 6
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -237,4 +237,41 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(docs, changed=leaf([body if f == "text" else F.col(f) for f in FIELDS]))
 
 
-QUERIES = {"op13_merkle_manifest": (op13_merkle_manifest, None)}
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}, '-')"
+
+
+#: The same level by level: all nodes of all trees, then each changed leaf's path with the siblings beside it.
+SQL = f"""WITH RECURSIVE l AS (SELECT doc_id, source, sha256(concat({", ".join(map(_field_sql, FIELDS[:4]))}, {_field_sql("text")})) AS leaf,
+  CASE WHEN text IS NOT NULL AND {crc32_sql("doc_id::VARCHAR")} % 2 = 0 THEN sha256(concat({", ".join(map(_field_sql, FIELDS[:4]))}, {_field_sql("replace(text, chr(10), '')")})) END AS changed FROM documents),
+leaves AS MATERIALIZED (SELECT doc_id, source, leaf, coalesce(changed, leaf) AS changed,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l),
+low(source, d, i, h) AS (SELECT source, 0, i, leaf FROM leaves UNION ALL
+  SELECT source, d + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)) FROM (SELECT *, count(*) OVER (PARTITION BY source) AS n FROM low) WHERE n > 1 GROUP BY source, d, i // 3),
+lows AS MATERIALIZED (SELECT * FROM low),
+subs AS MATERIALIZED (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i
+  FROM (SELECT source, arg_max(h, d) AS h FROM lows GROUP BY source)),
+high(d, i, h) AS (SELECT 0, i, subroot FROM subs UNION ALL
+  SELECT d + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)) FROM (SELECT *, count(*) OVER () AS n FROM high) WHERE n > 1 GROUP BY d, i // 3),
+nodes AS MATERIALIZED (SELECT 0 AS part, source, d, i, h FROM lows UNION ALL SELECT 1, NULL, d, i, h FROM high),
+tops AS (SELECT part, source, max(d) AS top FROM nodes GROUP BY part, source),
+sides AS MATERIALIZED (SELECT a.part, a.source, a.d, a.i, string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i) AS lefts,
+  string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i) AS rights
+  FROM nodes a LEFT JOIN nodes b ON b.part = a.part AND b.source IS NOT DISTINCT FROM a.source AND b.d = a.d AND b.i // 3 = a.i // 3 AND b.i <> a.i GROUP BY ALL),
+path(doc_id, leaf, source, step, part, d, i, h, proof) AS (
+  SELECT doc_id, leaf, source, 0, 0, 0, i, changed, '' FROM leaves
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.source, p.step + 1, CASE WHEN t.top = p.d THEN 1 ELSE p.part END, CASE WHEN t.top = p.d THEN 0 ELSE p.d + 1 END,
+    CASE WHEN t.top = p.d THEN s.i ELSE p.i // 3 END,
+    CASE WHEN t.top = p.d THEN p.h ELSE sha256(concat(coalesce(g.lefts, ''), p.h, coalesce(g.rights, ''))) END,
+    CASE WHEN t.top = p.d THEN p.proof ELSE concat(p.proof, g.lefts, g.rights) END
+  FROM path p JOIN tops t ON t.part = p.part AND (t.part = 1 OR t.source IS NOT DISTINCT FROM p.source)
+  JOIN subs s ON s.source IS NOT DISTINCT FROM p.source
+  LEFT JOIN sides g ON g.part = p.part AND (g.part = 1 OR g.source IS NOT DISTINCT FROM p.source) AND g.d = p.d AND g.i = p.i
+  WHERE NOT (p.part = 1 AND t.top = p.d)),
+ends AS (SELECT *, row_number() OVER (PARTITION BY doc_id, leaf, source ORDER BY step DESC) AS nth FROM path)
+SELECT e.doc_id, e.leaf, s.subroot, r.h AS root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM ends e JOIN subs s ON s.source IS NOT DISTINCT FROM e.source, (SELECT arg_max(h, d) AS h FROM high) r WHERE nth = 1
+"""
+
+QUERIES = {"op13_merkle_manifest": (op13_merkle_manifest, SQL)}

@@ -209,3 +209,17 @@ def test_versions_share_all_untouched_nodes():
         changed = nodes[:at] + [brute.node("new")] + nodes[at + 1:]
         assert block.version(at, brute.node("new")) == merkle.Block(changed, 3).ancestor
     assert block.levels == before
+
+
+@pytest.mark.parametrize("name", ["op12_conversation_repair", "op13_merkle_manifest"])
+def test_twins_agree(spark, name):
+    import duckdb
+
+    from matchloom.llm.queries import QUERIES
+    run, sql = QUERIES[name]
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    assert sorted(map(tuple, run(spark, SF).select(*names).collect())) == sorted(cursor.fetchall())
