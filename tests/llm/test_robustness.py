@@ -229,3 +229,36 @@ def test_shards_are_a_parameter_and_follow_the_words(spark, monkeypatch):
     assert shards(few) == 4 and shards(usual) == 64 and taken(few) == taken(usual)
     monkeypatch.setattr(mixing, "SHARD_WORDS", 400)
     assert shards(mixing.mix(df)[0]) > 100
+
+
+# ------------------------------------------------------------------ 9
+def test_bands_reject_repetitive_texts_that_pass_the_base_rules(spark):
+    """Made from documents that are labelled good: a sentence spun with every third word new, two fifths of repeated words, and symbols on every word."""
+    from matchloom.llm import quality
+    rng = __import__("random").Random(1)
+    larger = "/root/testdata/sf0.01"
+    good = spark.read.parquet(f"{larger}/labels.parquet").filter("quality = 1").select("doc_id")
+    texts = [r.text for r in spark.read.parquet(f"{larger}/documents.parquet").join(good, "doc_id").orderBy("doc_id").collect() if 3000 < len(r.text) < 30_000][:40]
+    rows, kinds = [], {"good": [], "spun": [], "repeated": [], "strewn": []}
+    for text in texts:
+        words = text.split()
+        n, part = len(words), int(len(words) * 0.42)
+        made = {"good": text, "spun": " ".join(rng.choice(words) if i % 3 == 0 else words[i % 9] for i in range(n)),
+                "repeated": " ".join(words[:n - part] + (words[:12] * n)[:part]), "strewn": " ".join(w + rng.choice(["***", "%%%", "&&&", "$$$"]) for w in words)}
+        for kind, body in made.items():
+            kinds[kind].append(len(rows))
+            rows.append((len(rows), body))
+    got = {r.doc_id: r for r in quality.annotate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    share = {kind: sum(not got[i].kept for i in ids if not got[i].base_failed) / max(1, sum(not got[i].base_failed for i in ids)) for kind, ids in kinds.items()}
+    assert share["good"] == 0 and share["spun"] == 1 and share["repeated"] > 0.95 and share["strewn"] > 0.2
+    assert all(sum(not got[i].base_failed for i in ids) > 5 for ids in kinds.values())
+
+
+def test_verdicts_agree_with_labels(spark):
+    from matchloom.llm import quality
+    larger = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{larger}/labels.parquet").collect()}
+    got = [r for r in quality.op9_quality_rules(spark, larger).collect() if r.doc_id in labels and not r.base_failed]
+    good, poor = ([r for r in got if labels[r.doc_id] == q] for q in (1, 0))
+    assert good and all(r.kept for r in good)
+    assert any(not r.kept for r in poor)
