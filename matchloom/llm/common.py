@@ -11,11 +11,11 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from matchloom.operators.joins import fits_broadcast
 from matchloom.session import shared_dir
 
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
-BROADCAST_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,14 +97,9 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` (narrow fixed-width rows) has at most ``rows`` rows; looks at no more than that plus one."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """A broadcast hint behind a count; beyond the bound the join shuffles."""
-    return F.broadcast(df) if small(df) else df
+    """A broadcast hint behind a count of rows and bytes, texts and lists included; beyond the bound the join shuffles."""
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
