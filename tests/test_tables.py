@@ -175,3 +175,25 @@ def test_stream_in_several_batches_and_replay(spark, tmp_path):
     match_stream(stream(), index, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == first
     index.release()
+
+
+def test_stream_answers_repeated_queries_once_across_batches_and_restarts(spark, tmp_path):
+    from matchloom.operators.sparse import SparseIndex
+    from matchloom.streaming.incremental import match_stream
+    docs = spark.createDataFrame([(i, f"thing {i} blue") for i in range(20)], "doc_id long, norm string")
+    index = SparseIndex.fit(docs, "word", "bm25")
+    schema = "query_id long, text string"
+    arrive = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run = lambda: match_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), index,
+                               str(tmp_path / "out"), str(tmp_path / "state"), answered=str(tmp_path / "earlier")).awaitTermination()
+    spark.createDataFrame([(100,)], "query_id long").write.parquet(str(tmp_path / "earlier"))
+    arrive([(1, "thing 1"), (2, "thing 2"), (1, "thing 1"), (100, "thing 3")])
+    arrive([(2, "thing 2"), (3, "thing 3")])
+    run()
+    arrive([(1, "thing 1"), (3, "thing 3"), (4, "thing 4")])   # after a restart
+    run()
+    arrive([(4, "thing 4")])
+    run()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.query_id, r["rank"]) for r in rows) == [(q, n) for q in (1, 2, 3, 4) for n in range(1, 6)]
+    index.release()
