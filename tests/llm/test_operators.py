@@ -109,9 +109,10 @@ def test_suffix_dedup_many_documents_without_a_key(spark):
     work = suffix_dedup.RepeatedStrings(df)
     rows = {(r.key, r.n_bytes, r.n_removed) for r in work.remove().collect()}
     assert {r for r in rows if r[2]} == {(None, len(texts[7]), len(texts[7]))} and len(rows) > 15
-    paths = [*work.paths, work.path]
+    names, paths = [n for n, _ in work.tables], work.paths + [p for _, p in work.tables]
+    assert names and paths
     work.release()
-    assert not [p for p in paths if Path(p.removeprefix("file:")).exists()] and not spark.catalog.tableExists(work.table)
+    assert not [p for p in paths if Path(p.removeprefix("file:")).exists()] and not any(spark.catalog.tableExists(n) for n in names)
 
 
 @pytest.mark.parametrize("seed", range(6))
