@@ -70,3 +70,38 @@ def test_empty_sides(spark):
     for plan in ("whole", "cells"):
         assert dense.dense_top_k(q, d.limit(0), plan=plan).count() == 0
         assert dense.dense_top_k(q.limit(0), d, plan=plan).count() == 0
+
+
+def test_k_best_keeps_lower_columns_and_puts_nan_last():
+    scores = np.array([[1.0, 3.0, 3.0, 3.0, 2.0], [np.nan, 1.0, np.nan, np.nan, 1.0], [0.0] * 5])
+    for k in (1, 2, 3, 5, 9):
+        row, column = dense.k_best(scores, k)
+        want = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        assert row.tolist() == np.repeat(range(3), want.shape[1]).tolist() and column.tolist() == want.ravel().tolist()
+
+
+@pytest.mark.parametrize("plan", ["whole", "cells"])
+def test_scores_and_visits_are_held_in_small_pieces(spark, monkeypatch, plan):
+    docs, queries = vectors(1, 700), vectors(9, 90)
+    d, q = table(spark, "doc_id", docs), table(spark, "query_id", queries).coalesce(1)
+    whole = collected(dense.dense_top_k(q, d, 5, plan=plan))
+    monkeypatch.setattr(dense, "SCORES", 1500)
+    monkeypatch.setattr(dense, "PACKED_BYTES", 4000)
+    monkeypatch.setattr(dense, "VISIT_ROWS", 20)
+    assert collected(dense.dense_top_k(q, d, 5, plan=plan)) == whole
+    cells = dense.Cells(d, 700, 700 * 12 * 8)
+    made = {}
+
+    class Asked:
+        schema = q.schema
+
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, work, _):
+            made["work"] = work
+
+    cells.visits(Asked(), 5)
+    held = [len(piece) for piece in made["work"](iter([q.toPandas().assign(floor=-2.0)]))]
+    assert sum(held) > 90 and max(held) <= 20
+    cells.release()
