@@ -93,23 +93,28 @@ class GridIndex(SparseIndex):
         return self.own_texts.join(self.known(), "variant").select(keyed("text_id").alias("text_id"), F.concat("config", F.lit(MARK), "norm").alias("norm"))
 
     def query_vectors(self, texts: DataFrame) -> DataFrame:
-        """(qid, term, wq, text_df, cosine); qid is (config, text)."""
+        """(qid, term, tf, wq, text_df, cosine); qid is (config, text)."""
         counted = self.analyzed(texts, []).join(self.known().select("config", "analyzer"), "analyzer")
         known = self.vocabulary.select("config", "term", "idf", "text_df", "cosine")
         joined = counted.join(F.broadcast(known) if fits_broadcast(known) else known, ["config", "term"])
         raw = F.col("tf") * F.col("idf")
         length = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("config", "text_id")))
-        return joined.select(keyed("text_id").alias("qid"), marked().alias("term"), F.when(F.col("cosine"), raw / length).otherwise(F.col("tf").cast("double")).alias("wq"), "text_df", "cosine")
+        return joined.select(keyed("text_id").alias("qid"), marked().alias("term"), "tf", F.when(F.col("cosine"), raw / length).otherwise(F.col("tf").cast("double")).alias("wq"), "text_df", "cosine")
 
-    def search(self, queries: DataFrame, k: int = 5, pad: bool = False, plan: str = "pruned") -> DataFrame:
+    @staticmethod
+    def _scope(key: str) -> Column:
+        return F.col(key)["config"]
+
+    def search(self, queries: DataFrame, k: int = 5, pad: bool = False, plan: str = "auto") -> DataFrame:
         """(config, query_id, rank, doc_id, score) under every configuration."""
         distinct = self._keep(corpus.by_text(corpus.distinct_texts(queries, "query_id")))
-        vectors = self._keep(self.query_vectors(distinct))
-        best_texts = top_k(self._pruned(vectors, k), k, "qid", "text_id")
+        each = self._keep(distinct.withColumn("config", F.explode(self.names())).select("config", "norm", keyed("text_id").alias("own")))
+        alike, vectors = self._asked_once(self._keep(self.query_vectors(distinct)), each.select(F.col("own").alias("qid")))
+        best_texts = top_k(self._many(vectors, k, plan), k, "qid", "text_id")
         best = top_k(best_texts.join(self._copies(k), "text_id"), k, "qid")
-        asked = distinct.withColumn("config", F.explode(self.names())).select("config", "norm", keyed("text_id").alias("qid"))
+        asked = each.join(alike, "own").select("config", "norm", "qid")
         if pad:
-            best = pad_zero(asked.select("qid"), self._keep(best).filter(F.col("score") > 0), self.docs.select("doc_id"), k, "qid")
+            best = pad_zero(alike.filter("own = qid").select("qid"), self._keep(best).filter(F.col("score") > 0), self.docs.select("doc_id"), k, "qid")
         return queries.join(asked, "norm").join(best, "qid").select("config", "query_id", "rank", "doc_id", "score")
 
     def _copies(self, k: int) -> DataFrame:
