@@ -105,3 +105,11 @@ def test_scores_and_visits_are_held_in_small_pieces(spark, monkeypatch, plan):
     held = [len(piece) for piece in made["work"](iter([q.toPandas().assign(floor=-2.0)]))]
     assert sum(held) > 90 and max(held) <= 20
     cells.release()
+
+
+def test_repeated_ids_stay_repeated_in_every_plan(spark, monkeypatch):
+    monkeypatch.setattr(dense, "PACKED_BYTES", 4000)
+    docs, queries = table(spark, "doc_id", vectors(1, 400)), table(spark, "query_id", vectors(9, 6))
+    twice, asked = docs.union(docs.filter("doc_id % 3 = 0")), queries.union(queries.filter("query_id = 1"))
+    rows = [[(r.query_id, r["rank"], r.doc_id) for r in dense.dense_top_k(asked, twice, 5, plan=plan).orderBy("query_id", "rank").collect()] for plan in ("whole", "cells")]
+    assert rows[0] == rows[1] and len(rows[0]) > len({(q, d) for q, _, d in rows[0]})
