@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from matchloom.functions import text as T
 from matchloom.operators import profile as P
+from matchloom.operators.joins import fits_broadcast
 from matchloom.plans import roles as R, sql as S
 
 C = F.col
@@ -34,12 +35,27 @@ def text_predicates(spark, sf):
         T.first_word(C("name")).alias("first_word"))
 
 
+GRAMMARS = (("alnum", T.TOKENS_ALNUM), ("letters", T.TOKENS_LETTERS), ("lower", T.TOKENS_LOWER))
+
+
 def token_grammars(spark, sf):
-    parts = [R.articles(spark, sf).select("doc_id", F.lit(label).alias("grammar"),
-                                          F.explode(T.tokens(C("name"), g)).alias("token"))
-             for label, g in (("alnum", T.TOKENS_ALNUM), ("letters", T.TOKENS_LETTERS), ("lower", T.TOKENS_LOWER))]
-    return (parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("doc_id", "grammar")
-            .agg(F.count(F.lit(1)).alias("tokens"), F.countDistinct("token").alias("distinct_tokens")))
+    return _token_counts(R.articles(spark, sf))
+
+
+def _token_counts(articles):
+    """Tokens of a row are counted where it is read, and only numbers are shuffled. The tokens of an id that stands in several rows
+    are counted again, one by one, as the same token may stand in more than one of them."""
+    lists = F.array(*[F.struct(F.lit(label).alias("grammar"), T.tokens(C("name"), g).alias("found")) for label, g in GRAMMARS])
+    rows = articles.select("doc_id", F.inline(lists))
+    single = (rows.select("doc_id", "grammar", F.size("found").alias("tokens"), F.size(F.array_distinct("found")).alias("distinct_tokens"))
+              .groupBy("doc_id", "grammar").agg(F.count(F.lit(1)).alias("rows"), F.sum("tokens").alias("tokens"),
+                                                F.max("distinct_tokens").cast("long").alias("distinct_tokens"))
+              .filter("rows = 1 AND tokens > 0").drop("rows"))
+    ids = articles.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(C("doc_id").alias("again"))
+    ids = F.broadcast(ids) if fits_broadcast(ids) else ids
+    again = (rows.join(ids, C("doc_id").eqNullSafe(C("again")), "left_semi").select("doc_id", "grammar", F.explode("found").alias("token"))
+             .groupBy("doc_id", "grammar").agg(F.count(F.lit(1)).alias("tokens"), F.countDistinct("token").alias("distinct_tokens")))
+    return single.unionByName(again)
 
 
 def base_names(spark, sf):

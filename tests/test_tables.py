@@ -197,3 +197,17 @@ def test_stream_answers_repeated_queries_once_across_batches_and_restarts(spark,
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r.query_id, r["rank"]) for r in rows) == [(q, n) for q in (1, 2, 3, 4) for n in range(1, 6)]
     index.release()
+
+
+def test_token_counts_of_repeated_and_null_ids(spark):
+    from matchloom.plans.profile_queries import _token_counts
+
+    rows = spark.createDataFrame([(1, "Red red rod 1/2"), (2, "red rod"), (2, "Rod big"), (None, "a 1"), (None, "a b"), (3, "--"), (4, None)],
+                                 "doc_id long, name string")
+    counts = _token_counts(rows)
+    got = {(r.doc_id, r.grammar): (r.tokens, r.distinct_tokens) for r in counts.collect()}
+    assert got == {(1, "alnum"): (4, 3), (1, "letters"): (3, 2), (1, "lower"): (3, 2),
+                   **{(2, g): (4, 3) for g in ("alnum", "letters", "lower")},
+                   (None, "alnum"): (4, 3), (None, "letters"): (3, 2), (None, "lower"): (3, 2)}
+    plan = _token_counts(rows.filter("doc_id = 1"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1                # tokens leave their row only for ids that stand in several rows
