@@ -64,19 +64,25 @@ class GridIndex(SparseIndex):
         return out
 
     def _count(self) -> None:
-        counts = self._keep(self.analyzed(self.own_texts, ["variant"]).select("variant", "analyzer", "text_id", "copies", "words", "term", "tf"))
+        counts = self._written(self.analyzed(self.own_texts, ["variant"]).select("variant", "analyzer", "text_id", "copies", "words", "term", "tf"), "grid-counts")
         sizes = self.own_texts.groupBy("variant").agg(F.sum("copies").cast("double").alias("n"), (F.sum(F.col("copies") * F.col("words")) / F.sum("copies")).alias("mean_words"))
-        frequent = self._keep(counts.groupBy("variant", "analyzer", "term").agg(F.sum("copies").alias("df"), F.count(F.lit(1)).alias("text_df")).join(F.broadcast(sizes), "variant"))
+        frequent = self._written(counts.groupBy("variant", "analyzer", "term").agg(F.sum("copies").alias("df"), F.count(F.lit(1)).alias("text_df")).join(F.broadcast(sizes), "variant"), "grid-frequencies")
         raw = bm25_raw_idf(F.col("n"), F.col("df"))
         means = frequent.groupBy("variant", "analyzer").agg(F.avg(raw).alias("mean_raw"))
         idf = F.when(F.col("cosine"), smooth_idf(F.col("n"), F.col("df"))).otherwise(replaced_idf(raw, F.col("mean_raw")))
-        self.vocabulary = self._keep(frequent.join(F.broadcast(means), ["variant", "analyzer"]).join(self.known(), ["variant", "analyzer"]).select(
-            "config", "variant", "analyzer", "cosine", "term", idf.alias("idf"), "text_df", "mean_words"))
+        self.vocabulary = self._written(frequent.join(F.broadcast(means), ["variant", "analyzer"]).join(self.known(), ["variant", "analyzer"]).select(
+            "config", "variant", "analyzer", "cosine", "term", idf.alias("idf"), "text_df", "mean_words"), "grid-vocabulary")
         self.counts = counts
         self.negative = not self.vocabulary.filter("idf < 0").isEmpty()
         if self.negative:
             raise ValueError("a BM25 floor below zero knows no bounds: search that configuration with its own index")
 
+    def _shared(self, name: str, build) -> DataFrame:
+        """Written, so that the plans of later steps do not hold those of all configurations before them."""
+        if name not in self.shared:
+            self.shared[name] = self._written(build(), f"grid-{name}")
+        return self.shared[name]
+
     def postings_by_text(self) -> DataFrame:
         """(text_id, term, wd) of all configurations: text_id is (config, text), the term carries its configuration."""
         def build() -> DataFrame:
@@ -108,13 +114,13 @@ class GridIndex(SparseIndex):
     def search(self, queries: DataFrame, k: int = 5, pad: bool = False, plan: str = "auto") -> DataFrame:
         """(config, query_id, rank, doc_id, score) under every configuration."""
         distinct = self._keep(corpus.by_text(corpus.distinct_texts(queries, "query_id")))
-        each = self._keep(distinct.withColumn("config", F.explode(self.names())).select("config", "norm", keyed("text_id").alias("own")))
-        alike, vectors = self._asked_once(self._keep(self.query_vectors(distinct)), each.select(F.col("own").alias("qid")))
+        each = self._written(distinct.withColumn("config", F.explode(self.names())).select("config", "norm", keyed("text_id").alias("own")), "search-each")
+        alike, vectors = self._asked_once(self._written(self.query_vectors(distinct), "search-vectors"), each.select(F.col("own").alias("qid")))
         best_texts = top_k(self._many(vectors, k, plan), k, "qid", "text_id")
         best = top_k(best_texts.join(self._copies(k), "text_id"), k, "qid")
         asked = each.join(alike, "own").select("config", "norm", "qid")
         if pad:
-            best = pad_zero(alike.filter("own = qid").select("qid"), self._keep(best).filter(F.col("score") > 0), self.docs.select("doc_id"), k, "qid")
+            best = pad_zero(alike.filter("own = qid").select("qid"), self._written(best, "search-best").filter(F.col("score") > 0), self.docs.select("doc_id"), k, "qid")
         return queries.join(asked, "norm").join(best, "qid").select("config", "query_id", "rank", "doc_id", "score")
 
     def _copies(self, k: int) -> DataFrame:
@@ -126,7 +132,7 @@ class GridIndex(SparseIndex):
                 out = part if out is None else out.unionByName(part)
             return out.join(self.known().select("variant", "config"), "variant").select(keyed("text_id").alias("text_id"), "doc_id")
 
-        return self._shared(f"copies {k}", build)
+        return self._shared(f"copies-{k}", build)
 
 
 def grid_ranks(index: GridIndex, gold: DataFrame, ranked: DataFrame, *keep: str) -> DataFrame:
