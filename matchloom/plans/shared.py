@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from matchloom.operators.evaluate import gold_ranks
@@ -78,15 +80,13 @@ def order_ranking(spark: SparkSession, sf: str, analyzer: str, weighting: str, b
         spark, sf, analyzer, weighting, brand).search(order_texts(spark, sf), k, pad=True).persist())
 
 
-def system_tops(spark: SparkSession, sf: str) -> DataFrame:
-    """system, query_id, rank, doc_id, score."""
-    parts = [order_ranking(spark, sf, *how).withColumn("system", F.lit(name)) for name, how in SYSTEMS.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+def system_tops(spark: SparkSession, sf: str, *names: str) -> DataFrame:
+    """system, query_id, rank, doc_id, score of the named systems; of all, by default. No other system is indexed or searched."""
+    return reduce(DataFrame.unionByName, [order_ranking(spark, sf, *SYSTEMS[name]).withColumn("system", F.lit(name)) for name in names or SYSTEMS])
 
 
-def system_ranks(spark: SparkSession, sf: str) -> DataFrame:
-    """system, split, query_id, gold_id, rank of the right product."""
+def system_ranks(spark: SparkSession, sf: str, *names: str) -> DataFrame:
+    """system, split, query_id, gold_id, rank of the right product, of the named systems or of all."""
     gold = R.orders(spark, sf).select("query_id", "gold_id", "split")
-    parts = [gold_ranks(gold, order_ranking(spark, sf, *how), "split").withColumn("system", F.lit(name))
-             for name, how in SYSTEMS.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, [gold_ranks(gold, order_ranking(spark, sf, *SYSTEMS[name]), "split").withColumn("system", F.lit(name))
+                                          for name in names or SYSTEMS])
