@@ -8,6 +8,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -295,6 +296,25 @@ def test_line_dedup_finds_every_link_at_the_threshold(spark):
     assert [r.key for r in out.filter("n_dropped <> 1").collect()] == []
 
 
+def test_line_buckets_hand_on_every_pair_of_few_and_every_node_of_many():
+    sizes = {-9: 1, -2: 2, 0: 40, 3: 3, 4: lines.FEW, 7: lines.FEW + 1, 8: 1}
+    rows = [(bucket, 100 + n) for bucket, size in sizes.items() for n in range(size)]
+    few = {(b, 100 + y, 100 + x, False) for b, size in sizes.items() if size <= lines.FEW for y in range(size) for x in range(y)}
+    many = {(b, 100 + y, 100, True) for b, size in sizes.items() if size > lines.FEW for y in range(1, size)}
+    for width in (1, 4, 7, 1000):                          # whatever batches the rows arrive in
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i:i + width])], ["bucket", "node"])
+                   for i in range(0, len(rows), width)]
+        out = [tuple(r.values()) for b in lines._bucket_pairs(iter(batches)) for r in b.to_pylist()]
+        assert len(out) == len(set(out)) and set(out) == few | many
+    assert list(lines._bucket_pairs(iter([]))) == []
+
+
+def test_line_signature_takes_at_most_160_bytes():
+    batch = pa.RecordBatch.from_arrays([pa.array([b"x"]), pa.array([1]), pa.array(["a line of text"])], ["digest", "doc", "body"])
+    [out] = lines._line_sketch(iter([batch]))
+    assert len(out.column("minima")[0].as_py()) <= 160
+
+
 # ------------------------------------------------------------------ 7
 def test_decontamination(spark, docs, empty):
     base = corpus()[0][1].split()
