@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from matchloom.operators.joins import lookup
+from matchloom.operators.joins import fits_broadcast, lookup
 
 DEPTH = 5
 
@@ -16,6 +16,20 @@ def gold_ranks(gold: DataFrame, ranked: DataFrame, *keep: str) -> DataFrame:
             .withColumn("rank", F.coalesce("rank", F.lit(0))))
 
 
+def gold_ranks_of_texts(gold: DataFrame, asked: DataFrame, best: DataFrame, *keep: str) -> DataFrame:
+    """``gold_ranks`` of ``asked.join(best, "qid")``, without a row for every query and rank: a query carries its right answer to the
+    ranking of its text, and only hits come back."""
+    pairs = gold.select("query_id", "gold_id").distinct()
+    hits = (lookup_ranking(asked.join(pairs, "query_id"), best.select("qid", F.col("doc_id").alias("gold_id"), "rank"))
+            .select("query_id", F.col("gold_id").alias("doc_id"), "rank"))
+    return gold_ranks(gold, hits, *keep)
+
+
+def lookup_ranking(asked: DataFrame, best: DataFrame) -> DataFrame:
+    """A ranking has one row per text and answer; it is broadcast when its measured size allows."""
+    return asked.join(F.broadcast(best) if fits_broadcast(best) else best, ["qid", "gold_id"])
+
+
 def precision_at_1(rank: Column) -> Column:
     return F.avg((rank == 1).cast("double"))
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from matchloom.operators.evaluate import gold_ranks
+from matchloom.operators.evaluate import gold_ranks, gold_ranks_of_texts
 from matchloom.operators.sparse import SparseIndex
 from matchloom.operators.storage import discard, written
 from matchloom.plans import roles as R
@@ -80,6 +80,20 @@ def order_ranking(spark: SparkSession, sf: str, analyzer: str, weighting: str, b
         spark, sf, analyzer, weighting, brand).search(order_texts(spark, sf), k, pad=True).persist())
 
 
+def order_gold_ranks(spark: SparkSession, sf: str, analyzer: str, weighting: str, brand: bool) -> DataFrame:
+    """Rank of the right product of every order, from the ranking of each different text; where all rankings are held already, from those."""
+    gold = R.orders(spark, sf).select("query_id", "gold_id", "split")
+    if (spark.sparkContext.applicationId, sf, "ranking", analyzer, weighting, brand, 5) in _held:
+        return gold_ranks(gold, order_ranking(spark, sf, analyzer, weighting, brand), "split")
+
+    def build():
+        index = product_index(spark, sf, analyzer, weighting, brand)
+        asked, best = index.search_texts(order_texts(spark, sf), 5, pad=True)
+        return gold_ranks_of_texts(gold, asked, index._keep(best), "split").persist()
+
+    return _once(spark, (sf, "gold ranks", analyzer, weighting, brand), build)
+
+
 def system_tops(spark: SparkSession, sf: str, *names: str) -> DataFrame:
     """system, query_id, rank, doc_id, score of the named systems; of all, by default. No other system is indexed or searched."""
     return reduce(DataFrame.unionByName, [order_ranking(spark, sf, *SYSTEMS[name]).withColumn("system", F.lit(name)) for name in names or SYSTEMS])
@@ -87,6 +101,8 @@ def system_tops(spark: SparkSession, sf: str, *names: str) -> DataFrame:
 
 def system_ranks(spark: SparkSession, sf: str, *names: str) -> DataFrame:
     """system, split, query_id, gold_id, rank of the right product, of the named systems or of all."""
+    if not names:
+        return reduce(DataFrame.unionByName, [order_gold_ranks(spark, sf, *how).withColumn("system", F.lit(name)) for name, how in SYSTEMS.items()])
     gold = R.orders(spark, sf).select("query_id", "gold_id", "split")
     return reduce(DataFrame.unionByName, [gold_ranks(gold, order_ranking(spark, sf, *SYSTEMS[name]), "split").withColumn("system", F.lit(name))
-                                          for name in names or SYSTEMS])
+                                          for name in names])

@@ -60,3 +60,20 @@ def test_keyword_join_cuts_names_once(spark):
     found = {(r.doc_id, r.key) for r in keyword_join(catalog, keys).collect()}
     assert found == {(i, k) for i, name in rows for k in ("rod 1", "steel", "d") if k in name.lower()}
     assert read.value <= 2 * len(rows)                     # once for its runs, once to be confirmed
+
+
+def test_ranks_of_all_systems_need_no_row_per_order_and_rank(spark, monkeypatch, tmp_path):
+    parts = [(key, f"red bolt {key % 7}", "Brand#1", "SMALL", key % 7, 1.0) for key in [*range(30), 3, 4]]       # two keys repeat
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    full = {name: sorted(shared.gold_ranks(Q._gold(spark, str(tmp_path)), shared.order_ranking(spark, str(tmp_path), *how), "split").collect())
+            for name, how in shared.SYSTEMS.items()}
+    shared.forget()
+
+    def refused(*_):
+        raise AssertionError("all rankings of all orders")
+
+    monkeypatch.setattr(shared, "order_ranking", refused)
+    got = shared.system_ranks(spark, str(tmp_path)).collect()
+    for name, rows in full.items():
+        assert sorted((r.query_id, r.gold_id, r.split, r["rank"]) for r in got if r.system == name) == [(r.query_id, r.gold_id, r.split, r["rank"]) for r in rows]
+    shared.forget()
