@@ -113,3 +113,39 @@ def test_repeated_ids_stay_repeated_in_every_plan(spark, monkeypatch):
     twice, asked = docs.union(docs.filter("doc_id % 3 = 0")), queries.union(queries.filter("query_id = 1"))
     rows = [[(r.query_id, r["rank"], r.doc_id) for r in dense.dense_top_k(asked, twice, 5, plan=plan).orderBy("query_id", "rank").collect()] for plan in ("whole", "cells")]
     assert rows[0] == rows[1] and len(rows[0]) > len({(q, d) for q, _, d in rows[0]})
+
+
+def test_every_vector_is_asked(spark, tmp_path):
+    """No vector is left out as a query, in the registered queries and in their SQL."""
+    import duckdb
+
+    from matchloom.plans.match_queries import QUERIES
+    rows = [(i, x.tolist(), i % 3) for i, x in enumerate(vectors(2, 130, dim=64))]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    plain = duckdb.connect()
+    plain.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    for name in ("dense_top5", "dense_cells_top5", "dense_grid"):
+        run, sql = QUERIES[name]
+        got = sorted(map(tuple, run(spark, str(tmp_path)).collect()))
+        assert [tuple(r) for r in got] == sorted(plain.sql(sql).fetchall())
+        assert all(r[2] == 130 for r in got) if name == "dense_grid" else len(got) == 130 * 5
+
+
+@pytest.mark.parametrize("k", [1, 5, 40])
+def test_tiles_give_the_same_best(monkeypatch, k):
+    docs = np.concatenate([vectors(1, 300), np.repeat(vectors(4, 1), 60, axis=0), vectors(1, 300)])
+    monkeypatch.setattr(dense, "SCORES", 400)
+    got = {}
+    for at, row, column, score in dense.best_of(docs[:90], docs, k):
+        for r, c, s in zip(row, column, score):
+            got.setdefault(at + r, []).append((int(c), s))
+    assert {q: [d for d, _ in rows] for q, rows in got.items()} == {q: [d for d, _ in rows] for q, rows in plainly(docs[:90], docs, k).items()}
+
+
+def test_cells_in_rounds_visit_all_blocks(spark, monkeypatch):
+    docs = vectors(1, 700)
+    d, q = table(spark, "doc_id", docs), table(spark, "query_id", docs)
+    monkeypatch.setattr(dense, "PACKED_BYTES", 8000)
+    whole = collected(dense.dense_top_k(q, d, 5, plan="whole"))
+    monkeypatch.setattr(dense, "VISITED_BYTES", 200_000)       # three blocks a round
+    assert collected(dense.dense_top_k(q, d, 5, plan="cells")) == whole
