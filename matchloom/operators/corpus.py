@@ -7,15 +7,18 @@ equal to those over all rows, and a group of copies of any size collapses before
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from matchloom.session import partitions
 
 WORD, WORD_PAIRS, CHAR = "word", "word12", "char35"
 HELD_TERMS = 1 << 19       # terms that a task counts before it hands them on
+PARTS = 4                  # parts of the terms for each shuffle partition
 
 
 def distinct_texts(df: DataFrame, id_col: str, text: str = "norm") -> DataFrame:
@@ -87,20 +90,38 @@ def document_frequencies(texts: DataFrame, analyzer: str) -> DataFrame:
     """(term, df, text_df): copies and texts that hold a term. ``texts``: norm, copies.
 
     A task reads each text once and adds up per term what it has seen, so neither a text's terms nor pairs of text and term are
-    shuffled or held; it hands its counts on whenever it holds HELD_TERMS of them.
+    shuffled or held; it hands its counts on whenever it holds HELD_TERMS of them: sorted and compressed, one packet for each part of the terms.
     """
+    parts = PARTS * partitions(texts.sparkSession)
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Seen(analyzer)
         for batch in batches:
             for norm, copies in zip(batch.column("norm"), batch.column("copies").to_pylist()):
                 seen.add(norm.as_py(), copies)
                 if seen.full():
-                    yield seen.counts()
+                    yield seen.packets(parts)
                     seen = Seen(analyzer)
-        yield seen.counts()
+        yield seen.packets(parts)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, own = None, []
+        for batch in batches:
+            for number, packet in zip(batch.column("part").to_pylist(), batch.column("packet")):
+                if number != part:
+                    yield from total(own)
+                    part, own = number, []
+                own.append(pa.ipc.open_stream(packet.as_buffer()).read_all())
+        yield from total(own)
 
-    parts = texts.select("norm", "copies").mapInArrow(counted, "term string, df long, text_df long")
-    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("text_df").alias("text_df"))
+    packets = texts.select("norm", "copies").mapInArrow(counted, "part int, packet binary")
+    return packets.repartition("part").sortWithinPartitions("part").mapInArrow(added, "term string, df long, text_df long")
+
+
+def total(counts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    if counts:
+        sums = pa.concat_tables(counts).group_by("term").aggregate([("df", "sum"), ("text_df", "sum")])
+        yield from sums.select(["term", "df_sum", "text_df_sum"]).rename_columns(["term", "df", "text_df"]).combine_chunks().to_batches(1 << 16)
 
 
 class Seen:
@@ -143,3 +164,19 @@ class Seen:
         n = len(self.numbers)
         return pa.RecordBatch.from_arrays([pa.array(list(self.numbers), pa.string()), pa.array(self.df[:n]), pa.array(self.text_df[:n])],
                                           names=["term", "df", "text_df"])
+
+    def packets(self, parts: int) -> pa.RecordBatch:
+        """(part, packet): the counts of the terms of one part of all terms, in order of the terms."""
+        counts = self.counts()
+        own = np.fromiter((crc32(t.encode("utf-8", "surrogatepass")) % parts for t in self.numbers), np.int64, len(counts))
+        order = pc.sort_indices(counts.column("term")).to_numpy()
+        order = order[np.argsort(own[order], kind="stable")]
+        counts, own = counts.take(pa.array(order)), own[order]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, int)
+        packets = []
+        for start, end in zip(first, np.append(first, len(own))[1:]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, counts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(counts.slice(start, end - start))
+            packets.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(own[first].astype(np.int32)), pa.array(packets, pa.binary())], names=["part", "packet"])

@@ -230,3 +230,25 @@ def test_padding_under_a_negative_floor_looks_at_no_list_of_places(spark):
                            spark.createDataFrame([(0, 0, -1.0)], "qid long, text_id long, score double"), 5)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
     index.release()
+
+
+@pytest.mark.parametrize("analyzer, weighting", [("word", "tfidf"), ("word12", "tfidf"), ("char35", "tfidf"), ("word", "bm25")])
+def test_streamed_search_of_long_texts_holds_no_postings(spark, monkeypatch, analyzer, weighting):
+    from matchloom.operators import sparse, streamed
+    rnd = random.Random(8)
+    monkeypatch.setattr(sparse, "LONG_TERMS", 8)
+    words = [f"w{int(rnd.paretovariate(.5)) % 300}" for _ in range(2000)]
+    docs = {i: " ".join(rnd.choices(words, k=rnd.randint(60, 140))) for i in range(150)}
+    docs |= {150 + i: docs[i] for i in range(30)} | {200: "", 201: "alone"}
+    d, q = frames(spark, docs, {i: " ".join(rnd.choices(words, k=rnd.randint(1, 9))) for i in range(12)})
+    index = SparseIndex.fit(d, analyzer, weighting)
+    want = sorted(map(tuple, index.search(q, 5, pad=True, plan="direct").collect()))
+    index.release()
+    for rows in (1 << 20, 20):                             # a whole table, and one that ends at frequent terms
+        monkeypatch.setattr(streamed, "TABLE_ROWS", rows)
+        index = SparseIndex.fit(d, analyzer, weighting)
+        monkeypatch.setattr(index, "_direct", lambda *_: pytest.fail("postings are joined"))
+        monkeypatch.setattr(index, "_many", lambda *_: pytest.fail("postings are joined"))
+        got = sorted(map(tuple, index.search(q, 5, pad=True).collect()))
+        assert [r[:3] for r in got] == [r[:3] for r in want] and [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=2e-9)
+        index.release()
