@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import scores
-from matchloom.operators import similar
+from matchloom.operators import similar, streamed
 from matchloom.operators.sparse import SparseIndex
 
 
@@ -85,3 +85,19 @@ def test_bm25_has_no_similarity(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, norm string")
     with pytest.raises(ValueError):
         similar.similar_texts(SparseIndex.fit(docs, "word", "bm25"), 0.8)
+
+
+@pytest.mark.parametrize("rows", [1 << 20, 40])
+def test_rounds_and_small_tables_find_the_same_pairs(spark, monkeypatch, rows):
+    texts = records(5, 200)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, norm string")
+    monkeypatch.setattr(streamed, "TABLE_ROWS", rows)
+    monkeypatch.setattr(similar, "ROUND_PAIRS", 9_000)
+    monkeypatch.setattr(similar, "ROUND_SCORED", 200)
+    index = SparseIndex.fit(docs, "word", "tfidf")
+    got = {(r.a, r.b): r.score for r in similar.similar_texts(index, 0.7).collect()}
+    want = all_pairs(texts, "word", 0.7)
+    assert set(got) == set(want) and len(want) > 5
+    assert [got[p] for p in sorted(want)] == pytest.approx([want[p] for p in sorted(want)], abs=2e-9)
+    assert not index.shared                                # no postings are held
+    index.release()
